@@ -55,7 +55,8 @@ def _event_top_items(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _shown(df: DataFrame) -> DataFrame:
-    """Timestamps as text, decimals as doubles and ranks as bigint, so both engines print alike."""
+    """Values that the two engines hand out differently: timestamps and integers that can be absent
+    become text, decimals doubles, ranks bigint."""
     columns = []
     for field in df.schema.fields:
         column = F.col(field.name)
@@ -65,6 +66,8 @@ def _shown(df: DataFrame) -> DataFrame:
             column = column.cast("double")
         elif field.name == "rank":
             column = column.cast("bigint")
+        elif field.name in ("user_id", "duration_ms"):
+            column = column.cast("string")
         columns.append(column.alias(field.name))
     return df.select(*columns)
 
@@ -102,8 +105,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "typed_parse": lambda s, d: _shown(type_events(bindings.dirty_raw(s, d))),
         "dedup_events": lambda s, d: _shown(enrich.dedup_events(bindings.lineitem_streams(s, d))),
-        "project_songs": lambda s, d: enrich.project_songs(bindings.songs(s, d)),
-        "project_users": lambda s, d: enrich.project_users(bindings.users(s, d)),
+        "project_songs": lambda s, d: _shown(enrich.project_songs(bindings.songs(s, d))),
+        "project_users": lambda s, d: _shown(enrich.project_users(bindings.users(s, d))),
         "join_songs_left": lambda s, d: _shown(enrich.join_songs(
             bindings.lineitem_streams(s, d), bindings.songs(s, d))),
         "join_users_left": lambda s, d: _shown(enrich.join_users(
@@ -124,7 +127,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "listen_count": lambda s, d: kpis.listen_count(_lineitem(s, d)),
         "unique_listeners": lambda s, d: kpis.unique_listeners(_lineitem(s, d)),
         "total_listen_time": lambda s, d: kpis.total_listen_time(_lineitem(s, d)),
-        "user_totals": lambda s, d: kpis.user_totals(_lineitem(s, d)),
+        "user_totals": lambda s, d: _shown(kpis.user_totals(_lineitem(s, d))),
         "avg_listen_time": lambda s, d: kpis.avg_listen_time(_lineitem(s, d)).withColumn(
             "avg_listen_time_ms", F.round("avg_listen_time_ms", 2)),
         "song_plays": lambda s, d: kpis.song_plays(_lineitem(s, d)),
@@ -315,6 +318,7 @@ def _with(*ctes: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    user = "cast(user_id as varchar) as user_id"
     stamp = "strftime(listen_time, '%Y-%m-%d %H:%M:%S.%f') as listen_time"
     line = _with(_SONGS, _USERS, _line(), _enriched_sql())
     line_kpis = _with(_SONGS, _USERS, _line(), _enriched_sql(), _kpi_sql())
@@ -332,18 +336,20 @@ merged_top as (
   select * from top_items a where not exists (select 1 from top_items_2 b where a.date = b.date))""")
     coverage = (_unknown_sql("user", "user_id", "users"), _unknown_sql("track", "track_id", "songs"))
     return {
-        "typed_parse": _with(_DIRTY) + """select try_cast(user_id as integer) as user_id, track_id,
+        "typed_parse": _with(_DIRTY) + """select cast(try_cast(user_id as integer) as varchar) as user_id, track_id,
   strftime(try_strptime(listen_time, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S.%f') as listen_time from raw""",
-        "dedup_events": _with(_line()) + f"""select user_id, track_id, {stamp}
+        "dedup_events": _with(_line()) + f"""select {user}, track_id, {stamp}
 from (select distinct user_id, track_id, listen_time from streams)""",
-        "project_songs": _with(_SONGS) + "select * from songs",
-        "project_users": _with(_USERS) + "select * from users",
-        "join_songs_left": _with(_SONGS, _line()) + f"""select t.track_id, t.user_id, {stamp}, s.track_name,
-  s.track_genre, s.duration_ms, s.artists, s.album_name
+        "project_songs": _with(_SONGS) + """select track_id, track_name, track_genre,
+  cast(duration_ms as varchar) as duration_ms, artists, album_name from songs""",
+        "project_users": _with(_USERS) + f"select {user}, user_country from users",
+        "join_songs_left": _with(_SONGS, _line()) + f"""select t.track_id, {user}, {stamp}, s.track_name,
+  s.track_genre, cast(s.duration_ms as varchar) as duration_ms, s.artists, s.album_name
 from streams t left join songs s on t.track_id = s.track_id""",
-        "join_users_left": _with(_USERS, _line()) + f"""select t.user_id, t.track_id, {stamp}, u.user_country
+        "join_users_left": _with(_USERS, _line()) + f"""select cast(t.user_id as varchar) as user_id, t.track_id, {stamp}, u.user_country
 from streams t left join users u on t.user_id = u.user_id""",
-        "enrich": line + f"""select user_id, track_id, {stamp}, track_name, track_genre, duration_ms, artists,
+        "enrich": line + f"""select {user}, track_id, {stamp}, track_name, track_genre,
+  cast(duration_ms as varchar) as duration_ms, artists,
   album_name, user_country, listen_date from enriched""",
         "null_counts": _with(_DIRTY, _METRICS) + "select null_user_id, null_track_id, null_listen_time from metrics",
         "invalid_user_id": _with(_DIRTY, _METRICS) + "select invalid_user_id from metrics",
@@ -363,7 +369,7 @@ from streams t left join users u on t.user_id = u.user_id""",
 from enriched group by 1, 2""",
         "total_listen_time": line + """select track_genre, listen_date,
   cast(sum(duration_ms) as bigint) as total_listen_time_ms from enriched group by 1, 2""",
-        "user_totals": line_kpis + "select * from user_totals",
+        "user_totals": line_kpis + f"select {user}, track_genre, listen_date, user_total_ms from user_totals",
         "avg_listen_time": line_kpis + "select * from averages",
         "song_plays": line_kpis + "select * from song_plays",
         "top3_songs_rows": line_kpis + "select * from ranked_songs",

@@ -6,7 +6,8 @@ Events shuffle twice: once to remove copies, once to the grain (user, genre, day
   joined afterwards, so a hot track is one row per day there.
 * Country is in no KPI. A user listed k times would still multiply that user's plays by k, so the plan
   carries that factor instead of joining the users; it is 1 for everybody when users are unique.
-* Both branches read the same deduplicating shuffle.
+* Both branches read the same deduplicating shuffle. For that their filters must agree, so both say that a
+  play has a day; the merge by left join would otherwise add this to one branch only.
 """
 
 from pyspark.sql import DataFrame
@@ -67,7 +68,7 @@ def daily_kpis(events: DataFrame, songs: DataFrame, users: DataFrame,
 
     def by_day(plays: DataFrame) -> DataFrame:
         dated = plays.select("user_id", "track_id", parsing.listen_date(F.col("listen_time")).alias("listen_date"))
-        return _with_copies(dated, repeated)
+        return _with_copies(dated.where(F.col("listen_date").isNotNull()), repeated)
 
     watched = deduplicated if counts is None else counts.watch("streams", deduplicated)
     grain = _user_grain(by_day(watched), songs, broadcast)

@@ -13,11 +13,6 @@ from playtally.operators.serving import live
 from playtally.sources.tables import read_table, write_by_date
 
 
-def read_live(spark: SparkSession, root: str, schema: StructType, now: datetime) -> DataFrame:
-    """The unexpired rows of a serving table."""
-    return live(read_table(spark, root, schema), now)
-
-
 def _touched(existing: DataFrame, new: DataFrame, date: str) -> DataFrame:
     """The rows of `existing` that share a date with `new`."""
     span = new.agg(F.min(date).alias("first"), F.max(date).alias("last")).first()
@@ -27,26 +22,24 @@ def _touched(existing: DataFrame, new: DataFrame, date: str) -> DataFrame:
 
 
 def upsert(new: DataFrame, root: str, schema: StructType, keys: tuple[str, ...], now: datetime,
-           version: str = "processed_at", date: str = "date") -> None:
+           checkpoints: str, version: str = "processed_at", date: str = "date") -> None:
     """Put every row of `new` by key. Keys of the same dates that `new` lacks stay; expired ones go.
 
-    The merged rows are first made durable, so a write that fails half-way can be repeated from them.
+    The merged rows are made durable before the table is touched, so a write that fails half-way can be
+    repeated from them.
     """
-    spark = new.sparkSession
-    scratch = f"{root.rstrip('/')}_checkpoints"
-    new = durable(new.select(*schema.fieldNames()), scratch)
+    new = durable(new.select(*schema.fieldNames()), checkpoints)
     if new.isEmpty():
         return
-    existing = _touched(read_live(spark, root, schema, now), new, date)
-    merged = durable(merge_latest(existing, new, keys, version), scratch)
-    write_by_date(merged.sortWithinPartitions(*keys), root, date=date)
+    existing = live(read_table(new.sparkSession, root, schema), now)
+    merged = durable(merge_latest(_touched(existing, new, date), new, keys, version), checkpoints)
+    write_by_date(merged, root, date=date, order=keys)
 
 
 def compact(spark: SparkSession, root: str, schema: StructType, keys: tuple[str, ...], now: datetime,
-            date: str = "date") -> None:
-    """Rewrite the dates that hold expired rows. Dates with nothing left are filtered on read."""
+            checkpoints: str, date: str = "date") -> None:
+    """Rewrite the dates that hold both expired and live rows. Reads skip expired rows in any case."""
     stored = read_table(spark, root, schema)
     stale = stored.where(F.col("ttl_expiry") <= F.lit(epoch_seconds(now))).select(date).distinct()
-    kept = durable(live(stored, now).join(stale, date, "left_semi"), f"{root.rstrip('/')}_checkpoints")
-    if not kept.isEmpty():
-        write_by_date(kept.sortWithinPartitions(*keys), root, date=date)
+    kept = durable(live(stored, now).join(stale, date, "left_semi"), checkpoints)
+    write_by_date(kept, root, date=date, order=keys)

@@ -11,14 +11,18 @@ from playtally import schemas
 from playtally.functions import parsing
 
 
-def write_by_date(df: DataFrame, root: str, fmt: str = "parquet", date: str = "listen_date") -> None:
+def write_by_date(df: DataFrame, root: str, fmt: str = "parquet", date: str = "listen_date",
+                  order: Iterable[str] = ()) -> None:
     """Replace the partitions of `root` for the dates in `df`; other dates stay untouched.
 
     Rebalancing gives each date a few well-sized files: small dates share a task, large ones are split.
+    `order` sorts the rows within each file, so that lookups by those columns can skip row groups.
     """
+    rebalanced = df.hint("rebalance", F.col(date))
+    if order:
+        rebalanced = rebalanced.sortWithinPartitions(date, *[name for name in order if name != date])
     (
-        df.hint("rebalance", F.col(date))
-        .write.mode("overwrite")
+        rebalanced.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(date)
         .format(fmt)
