@@ -14,9 +14,9 @@ class StageCounts:
         self._watched[name] = Observation(name)
         return df.observe(self._watched[name], F.count(F.lit(1)).alias("rows"))
 
-    def rows(self, name: str) -> int:
+    def rows(self, name: str) -> int | None:
         """Waits for the action over the frame; call it only after that action was started."""
-        return self._watched[name].get["rows"]
+        return self._watched[name].get.get("rows")
 
-    def all(self) -> dict[str, int]:
+    def all(self) -> dict[str, int | None]:
         return {name: self.rows(name) for name in self._watched}

@@ -92,7 +92,8 @@ def merge_kpis(metrics: DataFrame, songs_json: DataFrame) -> DataFrame:
 
 
 def genre_kpis(enriched: DataFrame) -> DataFrame:
-    """All KPIs of each (genre, day) from enriched events."""
+    """All KPIs of each (genre, day) from enriched events; those without a day belong to no row."""
+    enriched = enriched.where(F.col("listen_date").isNotNull())
     return merge_kpis(genre_metrics(user_grain(enriched)), top_songs_json(top_songs(song_plays(enriched))))
 
 

@@ -149,9 +149,9 @@ def _schema_report(raw: DataFrame, missing: list[str], now: datetime) -> DataFra
     )
 
 
-def validation_report(raw: DataFrame, songs: DataFrame | None, users: DataFrame | None, now: datetime,
-                      input_key: str) -> DataFrame:
-    """One row: the verdict over the whole batch with its numbers and messages.
+def validation_verdict(raw: DataFrame, songs: DataFrame | None, users: DataFrame | None, now: datetime,
+                       input_key: str) -> DataFrame:
+    """One row: the report columns, and `off_format_time`, the accepted rows that will belong to no day.
 
     Missing columns end the checks. Duplicates and absent reference tables are reported, not failed.
     """
@@ -176,4 +176,11 @@ def validation_report(raw: DataFrame, songs: DataFrame | None, users: DataFrame
         "duplicate_rows",
         "errors",
         F.lit(iso_text(now)).alias("validated_at"),
+        "off_format_time",
     )
+
+
+def validation_report(raw: DataFrame, songs: DataFrame | None, users: DataFrame | None, now: datetime,
+                      input_key: str) -> DataFrame:
+    """One row: the verdict over the whole batch with its numbers and messages."""
+    return validation_verdict(raw, songs, users, now, input_key).drop("off_format_time")

@@ -6,10 +6,12 @@ Events shuffle twice: once to remove copies, once to the grain (user, genre, day
   joined afterwards, so a hot track is one row per day there.
 * Country is in no KPI. A user listed k times would still multiply that user's plays by k, so the plan
   carries that factor instead of joining the users; it is 1 for everybody when users are unique.
-* Both branches read the same deduplicating shuffle. For that their filters must agree, so both say that a
-  play has a day; the merge by left join would otherwise add this to one branch only.
+* Both branches read the same deduplicating shuffle. For that they must filter alike, so the input says that
+  a play has a day; the optimizer would otherwise add this to one side of the final left join only.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,8 @@ from playtally.operators import kpis
 from playtally.operators.enrich import dedup_events, duration_or_zero, genre_or_unknown
 from playtally.operators.joins import fits_broadcast, left_join_reference
 
+_Watch = Callable[[str, DataFrame], DataFrame]
+
 
 def repeated_users(users: DataFrame) -> DataFrame:
     """The users listed more than once, with how often."""
@@ -36,9 +40,9 @@ def _with_copies(plays: DataFrame, repeated: DataFrame | None) -> DataFrame:
     return joined.withColumn("copies", F.coalesce("copies", F.lit(1).cast("bigint")))
 
 
-def _user_grain(plays: DataFrame, songs: DataFrame, broadcast: bool) -> DataFrame:
-    by_track = songs.select("track_id", "track_genre", "duration_ms")
-    joined = left_join_reference(plays, by_track, "track_id", broadcast)
+def _user_grain(plays: DataFrame, songs: DataFrame, broadcast: bool, watch: _Watch) -> DataFrame:
+    by_track = watch("songs", songs.select("track_id", "track_genre", "duration_ms"))
+    joined = watch("enriched", left_join_reference(plays, by_track, "track_id", broadcast))
     return joined.groupBy("user_id", genre_or_unknown().alias("track_genre"), "listen_date").agg(
         F.sum("copies").alias("plays"),
         F.sum(duration_or_zero() * F.col("copies")).alias("listened_ms"),
@@ -58,19 +62,21 @@ def daily_kpis(events: DataFrame, songs: DataFrame, users: DataFrame,
                counts: StageCounts | None = None) -> DataFrame:
     """All KPIs of each (genre, day); the same rows as `genre_kpis(enrich(dedup_events(...)))`.
 
-    `counts` receives the number of deduplicated events when the result is first computed.
+    `counts` receives the rows of the streams (deduplicated), songs, users and enriched stages, without a
+    job of its own; users that are listed repeatedly do not add to the enriched rows it reports.
     """
-    deduplicated = dedup_events(events)
+    watch: _Watch = (lambda name, df: df) if counts is None else counts.watch
+    deduplicated = dedup_events(events.where(parsing.listen_date(F.col("listen_time")).isNotNull()))
     broadcast = fits_broadcast(songs.select("track_id", "track_name", "track_genre", "duration_ms"))
-    repeated = repeated_users(users)
+    repeated = repeated_users(watch("users", users))
     if repeated.isEmpty():
         repeated = None
 
     def by_day(plays: DataFrame) -> DataFrame:
         dated = plays.select("user_id", "track_id", parsing.listen_date(F.col("listen_time")).alias("listen_date"))
-        return _with_copies(dated.where(F.col("listen_date").isNotNull()), repeated)
+        return _with_copies(dated, repeated)
 
-    watched = deduplicated if counts is None else counts.watch("streams", deduplicated)
-    grain = _user_grain(by_day(watched), songs, broadcast)
+    # Only one branch is watched; the shuffle below stays common to both.
+    grain = _user_grain(by_day(watch("streams", deduplicated)), songs, broadcast, watch)
     plays = _song_plays(by_day(deduplicated), songs, broadcast)
     return kpis.merge_kpis(kpis.genre_metrics(grain), kpis.top_songs_json(kpis.top_songs(plays)))

@@ -14,8 +14,9 @@ from playtally.functions.durable import durable
 from playtally.operators import serving
 from playtally.operators.kpis import top_genres
 from playtally.plans.daily import daily_kpis
+from playtally.sources.event_archive import read_events
 from playtally.sources.keyed import upsert
-from playtally.sources.tables import on_dates, read_kpis, read_table, read_top_genres, write_by_date
+from playtally.sources.tables import read_kpis, read_table, read_top_genres, write_by_date
 
 
 @dataclass(frozen=True)
@@ -80,9 +81,7 @@ def recompute_dates(spark: SparkSession, layout: Layout, songs: DataFrame, users
                     dates: Iterable[str], json_export: bool = False) -> list[str]:
     """Rebuild the archive of some dates from all archived events of those dates, whichever file they
     came in; exact accumulation over files that share a date."""
-    stored = spark.read.option("basePath", layout.events).parquet(layout.events)
-    # Partition discovery may read the date as a date; the filter still prunes partitions.
-    stored = on_dates(stored.withColumn("listen_date", F.col("listen_date").cast("string")), dates)
+    stored = read_events(spark, layout.events, dates)
     return archive_kpis(daily_kpis(stored, songs, users), layout, json_export)
 
 

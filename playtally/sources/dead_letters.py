@@ -4,15 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playtally import schemas
-
-
-def _replace(df: DataFrame, root: str, *partitions: str) -> None:
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(root)
-    )
+from playtally.sources.tables import replace_partitions
 
 
 def write_dead_letter(spark: SparkSession, path: str, file_name: str, stage: str, errors: list[str],
@@ -24,7 +16,7 @@ def write_dead_letter(spark: SparkSession, path: str, file_name: str, stage: str
         F.lit(stage).alias("stage"),
         F.lit(file_name).alias("file_name"),
     )
-    _replace(lines, root, "stage", "file_name")
+    replace_partitions(lines, root, "stage", "file_name")
 
 
 def read_dead_letters(spark: SparkSession, root: str) -> DataFrame:
@@ -33,15 +25,4 @@ def read_dead_letters(spark: SparkSession, root: str) -> DataFrame:
 
 def write_rejects(rejects: DataFrame, file_name: str, root: str) -> None:
     """Keep the rows of an accepted file that belong to no day."""
-    _replace(rejects.select(*schemas.REQUIRED_COLUMNS, F.lit(file_name).alias("file_name")), root, "file_name")
-
-
-def archive_events(events: DataFrame, file_name: str, root: str) -> None:
-    """Keep the typed events of a file under their dates, for a later recomputation."""
-    _replace(
-        events.withColumns({
-            "listen_date": F.date_format("listen_time", schemas.LISTEN_DATE_FORMAT),
-            "file_name": F.lit(file_name),
-        }).hint("rebalance", F.col("listen_date")),
-        root, "listen_date", "file_name",
-    )
+    replace_partitions(rejects.select(*schemas.REQUIRED_COLUMNS, F.lit(file_name).alias("file_name")), root, "file_name")

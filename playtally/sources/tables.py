@@ -11,6 +11,17 @@ from playtally import schemas
 from playtally.functions import parsing
 
 
+def replace_partitions(df: DataFrame, root: str, *partitions: str, fmt: str = "parquet") -> None:
+    """Replace exactly the partitions of `root` that `df` has rows for."""
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partitions)
+        .format(fmt)
+        .save(root)
+    )
+
+
 def write_by_date(df: DataFrame, root: str, fmt: str = "parquet", date: str = "listen_date",
                   order: Iterable[str] = ()) -> None:
     """Replace the partitions of `root` for the dates in `df`; other dates stay untouched.
@@ -21,13 +32,7 @@ def write_by_date(df: DataFrame, root: str, fmt: str = "parquet", date: str = "l
     rebalanced = df.hint("rebalance", F.col(date))
     if order:
         rebalanced = rebalanced.sortWithinPartitions(date, *[name for name in order if name != date])
-    (
-        rebalanced.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(date)
-        .format(fmt)
-        .save(root)
-    )
+    replace_partitions(rebalanced, root, date, fmt=fmt)
 
 
 def read_table(spark: SparkSession, root: str, schema: StructType, fmt: str = "parquet") -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,10 +19,10 @@ from playtally import schemas
 from playtally.functions.clock import system_clock
 from playtally.functions.counts import StageCounts
 from playtally.functions.parsing import base_name
-from playtally.operators.quality import validation_report
+from playtally.operators.quality import validation_verdict
 from playtally.plans.daily import daily_kpis
 from playtally.plans.load import Layout, archive_kpis, load_serving, recompute_dates
-from playtally.sources import dead_letters, inputs, reports
+from playtally.sources import dead_letters, event_archive, inputs, reports
 
 log = logging.getLogger(__name__)
 
@@ -54,36 +54,33 @@ def _reference_keys(spark: SparkSession, settings: Settings) -> tuple[DataFrame
         return None, None
 
 
-def _validate(spark: SparkSession, raw: DataFrame, file_name: str, settings: Settings) -> list[str]:
-    """The messages of a failed validation; the report is written either way."""
+def _validate(spark: SparkSession, raw: DataFrame, file_name: str, settings: Settings) -> Row:
+    """The verdict on the file; its report is written either way."""
     songs, users = _reference_keys(spark, settings)
-    report = validation_report(raw, songs, users, settings.clock(), file_name).first()
-    reports.write_validation_report(spark, report, settings.layout.root, file_name)
-    if "duplicate_rows" in report and report["duplicate_rows"]:
-        log.warning("%s: %d duplicate rows, removed before the KPIs", file_name, report["duplicate_rows"])
-    return [] if report["status"] == schemas.PASSED else report["errors"]
+    verdict = validation_verdict(raw, songs, users, settings.clock(), file_name).first()
+    reports.write_validation_report(spark, verdict, settings.layout.root, file_name)
+    if "duplicate_rows" in verdict and verdict["duplicate_rows"]:
+        log.warning("%s: %d duplicate rows, removed before the KPIs", file_name, verdict["duplicate_rows"])
+    return verdict
 
 
-def _transform(spark: SparkSession, raw: DataFrame, file_name: str, settings: Settings) -> list[str]:
+def _transform(spark: SparkSession, raw: DataFrame, off_format: int, file_name: str,
+               settings: Settings) -> list[str]:
     """Archive the KPIs of the file; returns the dates it touched."""
     layout = settings.layout
     songs = inputs.read_songs(spark, settings.songs_path)
     users = inputs.read_users(spark, settings.users_path)
     events, rejects = inputs.split_events(raw)
-    if not rejects.isEmpty():
+    if off_format:
         dead_letters.write_rejects(rejects, file_name, layout.rejects)
     if not settings.accumulate:
         counts = StageCounts()
         dates = archive_kpis(daily_kpis(events, songs, users, counts), layout, settings.json_export)
         log.info("%s: %s", file_name, counts.all())
         return dates
-    if events.isEmpty():
-        return []
-    dead_letters.archive_events(events, file_name, layout.events)
-    days = (spark.read.option("basePath", layout.events).parquet(layout.events)
-            .where(F.col("file_name") == file_name)
-            .agg(F.collect_set(F.col("listen_date").cast("string")).alias("dates")).first())
-    return recompute_dates(spark, layout, songs, users, days["dates"], settings.json_export)
+    event_archive.archive_events(events, file_name, layout.events)
+    return recompute_dates(spark, layout, songs, users, event_archive.archived_dates(spark, layout.events, file_name),
+                           settings.json_export)
 
 
 def _load(spark: SparkSession, dates: list[str], file_name: str, settings: Settings) -> None:
@@ -101,10 +98,11 @@ def process_file(spark: SparkSession, path: str, file_name: str, settings: Setti
     stage = "validation"
     try:
         raw = inputs.read_raw_events(spark, path)
-        errors = _validate(spark, raw, file_name, settings)
-        if not errors:
+        verdict = _validate(spark, raw, file_name, settings)
+        errors = verdict["errors"]
+        if verdict["status"] == schemas.PASSED:
             stage = "transform"
-            dates = _transform(spark, raw, file_name, settings)
+            dates = _transform(spark, raw, verdict["off_format_time"], file_name, settings)
             stage = "ingest"
             if dates:
                 _load(spark, dates, file_name, settings)
