@@ -50,8 +50,12 @@ def _event_items(spark: SparkSession, d: str) -> DataFrame:
     return serving.kpi_items(_event_kpis(spark, d), LOADED)
 
 
+def _top_items(spark: SparkSession, d: str, streams: DataFrame, now: datetime) -> DataFrame:
+    return serving.top_genre_items(kpis.top_genres(kpis.listen_count(_enriched(spark, d, streams))), now)
+
+
 def _event_top_items(spark: SparkSession, d: str) -> DataFrame:
-    return serving.top_genre_items(kpis.top_genres(_event_kpis(spark, d)), LOADED)
+    return _top_items(spark, d, bindings.event_streams(spark, d), LOADED)
 
 
 def _shown(df: DataFrame) -> DataFrame:
@@ -90,10 +94,9 @@ def _merged_kpi_items(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _merged_top_items(spark: SparkSession, d: str) -> DataFrame:
-    first = kpis.top_genres(_daily(spark, d, bindings.lineitem_streams(spark, d)))
-    second = kpis.top_genres(_daily(spark, d, bindings.lineitem_streams(spark, d, "l_shipdate")))
-    return merge_latest(serving.top_genre_items(first, LOADED), serving.top_genre_items(second, RELOADED),
-                        ("record_type", "date"))
+    first = _top_items(spark, d, bindings.lineitem_streams(spark, d), LOADED)
+    second = _top_items(spark, d, bindings.lineitem_streams(spark, d, "l_shipdate"), RELOADED)
+    return merge_latest(first, second, ("record_type", "date"))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -137,6 +140,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top5_genres": lambda s, d: _shown(
             kpis.top_genres(kpis.listen_count(_lineitem(s, d)))).orderBy("listen_date", "rank"),
         "distinct_dates": lambda s, d: kpis.distinct_dates(kpis.listen_count(_lineitem(s, d))),
+        "distinct_genres": lambda s, d: kpis.listen_count(_lineitem(s, d)).select("track_genre").distinct(),
         "genre_kpis": _lineitem_kpis,
         "genre_kpis_events": _event_kpis,
         "genre_kpis_from_enriched": lambda s, d: kpis.genre_kpis(
@@ -377,6 +381,7 @@ from enriched group by 1, 2""",
         "genre_plays": line_kpis + "select listen_date, track_genre, listen_count as genre_listen_count from plays",
         "top5_genres": line_kpis + "select * from top_genres order by listen_date, rank",
         "distinct_dates": line + "select distinct listen_date from enriched",
+        "distinct_genres": line + "select distinct track_genre from enriched",
         "genre_kpis": line_kpis + "select * from kpis",
         "genre_kpis_events": event_kpis + "select * from kpis",
         "genre_kpis_from_enriched": event_kpis + "select * from kpis",

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from playtally import schemas
 from playtally.functions import parsing
-from playtally.operators.joins import left_join_reference
+from playtally.operators.joins import fits_broadcast, left_join_reference, measured_bytes
 
 
 def dedup_events(events: DataFrame) -> DataFrame:
@@ -39,9 +39,9 @@ def duration_or_zero():
     return F.coalesce(F.col("duration_ms"), F.lit(0).cast("bigint"))
 
 
-def enrich(events: DataFrame, songs: DataFrame, users: DataFrame,
-           broadcast_songs: bool | None = None, broadcast_users: bool | None = None) -> DataFrame:
+def enrich(events: DataFrame, songs: DataFrame, users: DataFrame) -> DataFrame:
     """Every event with song, user and day; unlisted tracks get genre 'unknown' and duration 0."""
+    broadcast_songs, broadcast_users = map(fits_broadcast, measured_bytes(songs, users))
     joined = join_users(join_songs(events, songs, broadcast_songs), users, broadcast_users)
     return joined.withColumns({
         "track_genre": genre_or_unknown(),

@@ -12,21 +12,28 @@ BROADCAST_LIMIT_BYTES = 64 << 20
 SALTS = 64
 
 
-def measured_bytes(ref: DataFrame) -> int:
-    """Upper estimate of the size of `ref` in memory, from one pass over its actual values."""
-    text = F.octet_length(F.to_json(F.struct(*ref.columns)))
-    return ref.agg(F.sum(text).alias("size")).first()["size"] or 0
+def measured_bytes(*refs: DataFrame) -> list[int]:
+    """Upper estimate of the size of each frame in memory, from one pass over the actual values of all."""
+    sizes = None
+    for place, ref in enumerate(refs):
+        text = F.octet_length(F.to_json(F.struct(*ref.columns)))
+        size = ref.agg(F.coalesce(F.sum(text), F.lit(0)).cast("bigint").alias("size")).withColumn(
+            "place", F.lit(place))
+        sizes = size if sizes is None else sizes.unionByName(size)
+    return [row["size"] for row in sorted(sizes.collect(), key=lambda row: row["place"])]
 
 
-def fits_broadcast(ref: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
-    return measured_bytes(ref) <= limit
+def fits_broadcast(size: int) -> bool:
+    return size <= BROADCAST_LIMIT_BYTES
 
 
 def left_join_reference(events: DataFrame, ref: DataFrame, key: str, broadcast: bool | None = None,
                         salts: int = SALTS) -> DataFrame:
     """`events` left join `ref` on `key`. `broadcast=None` measures `ref` to decide."""
     ref = ref.where(F.col(key).isNotNull())
-    if fits_broadcast(ref) if broadcast is None else broadcast:
+    if broadcast is None:
+        broadcast = fits_broadcast(*measured_bytes(ref))
+    if broadcast:
         return events.join(F.broadcast(ref), key, "left")
     others = [name for name in events.columns if name != key]
     if salts == 1 or not others:

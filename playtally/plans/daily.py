@@ -6,6 +6,7 @@ Events shuffle twice: once to remove copies, once to the grain (user, genre, day
   joined afterwards, so a hot track is one row per day there.
 * Country is in no KPI. A user listed k times would still multiply that user's plays by k, so the plan
   carries that factor instead of joining the users; it is 1 for everybody when users are unique.
+* Days are dates while the data moves, and become text in the result only.
 * Both branches read the same deduplicating shuffle. For that they must filter alike, so the input says that
   a play has a day; the optimizer would otherwise add this to one side of the final left join only.
 """
@@ -19,7 +20,7 @@ from playtally.functions import parsing
 from playtally.functions.counts import StageCounts
 from playtally.operators import kpis
 from playtally.operators.enrich import dedup_events, duration_or_zero, genre_or_unknown
-from playtally.operators.joins import fits_broadcast, left_join_reference
+from playtally.operators.joins import fits_broadcast, left_join_reference, measured_bytes
 
 _Watch = Callable[[str, DataFrame], DataFrame]
 
@@ -33,10 +34,10 @@ def repeated_users(users: DataFrame) -> DataFrame:
     )
 
 
-def _with_copies(plays: DataFrame, repeated: DataFrame | None) -> DataFrame:
-    if repeated is None:
+def _with_copies(plays: DataFrame, repeated: DataFrame, repeated_bytes: int) -> DataFrame:
+    if repeated_bytes == 0:
         return plays.withColumn("copies", F.lit(1).cast("bigint"))
-    joined = left_join_reference(plays, repeated, "user_id")
+    joined = left_join_reference(plays, repeated, "user_id", fits_broadcast(repeated_bytes))
     return joined.withColumn("copies", F.coalesce("copies", F.lit(1).cast("bigint")))
 
 
@@ -50,12 +51,16 @@ def _user_grain(plays: DataFrame, songs: DataFrame, broadcast: bool, watch: _Wat
 
 
 def _song_plays(plays: DataFrame, songs: DataFrame, broadcast: bool) -> DataFrame:
+    """Plays per genre, day and song. Equal listings of a track are merged beforehand, so the joined rows
+    are already one per group."""
     track_days = plays.groupBy("track_id", "listen_date").agg(F.sum("copies").alias("plays"))
-    titles = songs.select("track_id", "track_genre", "track_name")
+    titles = songs.groupBy("track_id", genre_or_unknown().alias("track_genre"), "track_name").agg(
+        F.count(F.lit(1)).alias("listings"))
     joined = left_join_reference(track_days, titles, "track_id", broadcast, salts=1)
-    return joined.groupBy(
+    return joined.select(
         genre_or_unknown().alias("track_genre"), "listen_date", "track_id", "track_name",
-    ).agg(F.sum("plays").alias("song_listen_count"))
+        (F.col("plays") * F.coalesce("listings", F.lit(1).cast("bigint"))).alias("song_listen_count"),
+    )
 
 
 def daily_kpis(events: DataFrame, songs: DataFrame, users: DataFrame,
@@ -66,17 +71,18 @@ def daily_kpis(events: DataFrame, songs: DataFrame, users: DataFrame,
     job of its own; users that are listed repeatedly do not add to the enriched rows it reports.
     """
     watch: _Watch = (lambda name, df: df) if counts is None else counts.watch
-    deduplicated = dedup_events(events.where(parsing.listen_date(F.col("listen_time")).isNotNull()))
-    broadcast = fits_broadcast(songs.select("track_id", "track_name", "track_genre", "duration_ms"))
+    deduplicated = dedup_events(events.where(F.to_date("listen_time").isNotNull()))
     repeated = repeated_users(watch("users", users))
-    if repeated.isEmpty():
-        repeated = None
+    songs_bytes, repeated_bytes = measured_bytes(
+        songs.select("track_id", "track_name", "track_genre", "duration_ms"), repeated)
+    broadcast = fits_broadcast(songs_bytes)
 
     def by_day(plays: DataFrame) -> DataFrame:
-        dated = plays.select("user_id", "track_id", parsing.listen_date(F.col("listen_time")).alias("listen_date"))
-        return _with_copies(dated, repeated)
+        dated = plays.select("user_id", "track_id", F.to_date("listen_time").alias("listen_date"))
+        return _with_copies(dated, repeated, repeated_bytes)
 
     # Only one branch is watched; the shuffle below stays common to both.
     grain = _user_grain(by_day(watch("streams", deduplicated)), songs, broadcast, watch)
     plays = _song_plays(by_day(deduplicated), songs, broadcast)
-    return kpis.merge_kpis(kpis.genre_metrics(grain), kpis.top_songs_json(kpis.top_songs(plays)))
+    merged = kpis.merge_kpis(kpis.genre_metrics(grain), kpis.top_songs_json(kpis.top_songs(plays)))
+    return merged.withColumn("listen_date", parsing.listen_date(F.col("listen_date")))

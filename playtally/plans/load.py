@@ -1,5 +1,6 @@
 """Storing KPIs: the dated archive of a run, and the load of the keyed serving tables from it."""
 
+import logging
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime
@@ -18,6 +19,8 @@ from playtally.sources.event_archive import read_events
 from playtally.sources.keyed import upsert
 from playtally.sources.tables import read_kpis, read_table, read_top_genres, write_by_date
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -67,7 +70,11 @@ def archive_kpis(kpis: DataFrame, layout: Layout, json_export: bool = False) ->
     The KPIs are made durable first: every further frame and write starts from these few rows per day.
     """
     kpis = durable(kpis, layout.checkpoints)
-    span = kpis.agg(F.array_sort(F.collect_set("listen_date")).alias("dates")).first()
+    span = kpis.agg(
+        F.array_sort(F.collect_set("listen_date")).alias("dates"),
+        F.count_distinct("track_genre").alias("genres"),
+    ).first()
+    log.info("KPIs of %d genres on %d dates", span["genres"], len(span["dates"]))
     if not span["dates"]:
         return []
     top = top_genres(kpis)

@@ -11,23 +11,38 @@ CLUSTER_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Lost executors cost retries, not the run.
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "10",
 }
 
+MEGABYTE = 1 << 20
+MAX_SCAN_TASKS = 100_000
+MAX_SHUFFLE_PARTITIONS = 40_000
 
-def initial_shuffle_partitions(input_bytes: int, partition_bytes: int = 256 << 20) -> int:
-    """Shuffle partition count that keeps each at about `partition_bytes` before adaptive merging."""
-    return max(200, -(-input_bytes // partition_bytes))
+
+def sized_settings(input_bytes: int) -> dict[str, str]:
+    """Scan split size and shuffle partitions for an input size.
+
+    Splits of 256 MB and shuffle partitions of 256 MB, until their number would make the shuffle's blocks
+    (tasks x partitions) too many; from there the sizes grow: at 100 TB to 1 GB and 2.5 GB, which spill.
+    """
+    split = max(256 * MEGABYTE, -(-input_bytes // MAX_SCAN_TASKS))
+    partitions = min(MAX_SHUFFLE_PARTITIONS, max(200, -(-input_bytes // (256 * MEGABYTE))))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(partitions),
+    }
 
 
 def session(app_name: str = "playtally", input_bytes: int | None = None, **settings: str) -> SparkSession:
-    """A session with CLUSTER_SETTINGS; keyword settings use `__` for dots and win."""
-    builder = SparkSession.builder.appName(app_name)
+    """A session with CLUSTER_SETTINGS, sized for `input_bytes`; keyword settings use `__` for dots and win."""
     chosen = dict(CLUSTER_SETTINGS)
     if input_bytes is not None:
-        chosen["spark.sql.shuffle.partitions"] = str(initial_shuffle_partitions(input_bytes))
+        chosen.update(sized_settings(input_bytes))
     chosen.update({name.replace("__", "."): value for name, value in settings.items()})
+    builder = SparkSession.builder.appName(app_name)
     for name, value in chosen.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()

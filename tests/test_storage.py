@@ -83,6 +83,26 @@ def test_read_prunes_partitions(spark, layout):
     assert "PartitionFilters: [" in scan and "2024-06-12" in scan.split("PartitionFilters")[1]
 
 
+def test_json_lines_are_read_back_without_blank_lines(spark, tmp_path, layout):
+    part = tmp_path / "processed" / "genre_kpis" / "json" / "listen_date=2024-06-25"
+    part.mkdir(parents=True)
+    lines = ['{"track_genre": "a", "listen_count": 2}', "", '{"track_genre": "b", "top_3_songs": "[]"}', "  "]
+    (part / "part-0.json").write_text("\n".join(lines) + "\n")
+    (part / "_SUCCESS").write_text("")
+    items = serving.kpi_items(tables.read_kpis(spark, layout.archive("genre_kpis", "json"), fmt="json"), NOW)
+    assert rows(items.select("genre", "date", "listen_count", "top_3_songs")) == [
+        ("a", "2024-06-25", 2, "[]"), ("b", "2024-06-25", 0, "[]")]
+
+
+def test_lookups_prune_dates_and_push_the_genre_down(spark, layout):
+    put(spark, layout, NOW, kpi_row("a", "2024-06-25"), kpi_row("b", "2024-06-26"))
+    found = serving.point(stored_kpi_items(spark, layout, NOW), "a", "2024-06-25")
+    assert found.count() == 1
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "2024-06-25" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert "EqualTo(genre,a)" in plan.split("PushedFilters")[1]
+
+
 def test_load_writes_both_tables_and_reports(spark, layout):
     archive_kpis(spark.createDataFrame(
         [kpi_row("a", "2024-06-25", 3), kpi_row("b", "2024-06-25", 5), kpi_row("a", "2024-06-26")],
