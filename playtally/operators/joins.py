@@ -5,6 +5,8 @@ a hot key is spread over `salts` tasks: each event draws its salt from its own o
 recomputed task draws the same one) and each reference row is repeated once per salt.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,13 +16,12 @@ SALTS = 64
 
 def measured_bytes(*refs: DataFrame) -> list[int]:
     """Upper estimate of the size of each frame in memory, from one pass over the actual values of all."""
-    sizes = None
+    sizes = []
     for place, ref in enumerate(refs):
         text = F.octet_length(F.to_json(F.struct(*ref.columns)))
-        size = ref.agg(F.coalesce(F.sum(text), F.lit(0)).cast("bigint").alias("size")).withColumn(
-            "place", F.lit(place))
-        sizes = size if sizes is None else sizes.unionByName(size)
-    return [row["size"] for row in sorted(sizes.collect(), key=lambda row: row["place"])]
+        sizes.append(ref.agg(F.lit(place).alias("place"), F.coalesce(F.sum(text), F.lit(0)).alias("size")))
+    measured = {row["place"]: row["size"] for row in reduce(DataFrame.unionByName, sizes).collect()}
+    return [measured[place] for place in range(len(refs))]
 
 
 def fits_broadcast(size: int) -> bool:

@@ -5,6 +5,7 @@ every number: one grouped by whole rows, one over the distinct keys.
 """
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,9 +63,12 @@ def row_metrics(raw: DataFrame) -> DataFrame:
     return _distinct_rows(raw).agg(*_metric_columns(F.col("_copies")), _repeats())
 
 
-def _tagged_keys(df: DataFrame, keys: dict[str, Column]) -> DataFrame:
-    """Distinct (kind, key) pairs of `df`; absent keys are left out."""
-    pairs = F.array(*[F.struct(F.lit(kind).alias("kind"), key.alias("key")) for kind, key in keys.items()])
+def _tagged_keys(df: DataFrame, keys: dict[str, str]) -> DataFrame:
+    """Distinct (kind, key) pairs of `df` as comparable text; absent keys are left out."""
+    texts = {kind: F.col(key).cast("string") for kind, key in keys.items()}
+    if "user" in texts:
+        texts["user"] = parsing.key_text(texts["user"])
+    pairs = F.array(*[F.struct(F.lit(kind).alias("kind"), text.alias("key")) for kind, text in texts.items()])
     return df.select(F.inline(pairs)).where(F.col("key").isNotNull()).distinct()
 
 
@@ -78,13 +82,8 @@ def key_coverage(events: DataFrame, references: dict[str, tuple[str, DataFrame]]
 
     All kinds share one pass. Both sides are distinct before they meet, so no key is hot in the join.
     """
-    ours = _tagged_keys(events, {kind: parsing.key_text(F.col(key).cast("string")) if kind == "user"
-                                 else F.col(key) for kind, (key, _) in references.items()})
-    known = None
-    for kind, (key, ref) in references.items():
-        text = F.col(key).cast("string")
-        part = _tagged_keys(ref, {kind: parsing.key_text(text) if kind == "user" else text})
-        known = part if known is None else known.unionByName(part)
+    ours = _tagged_keys(events, {kind: key for kind, (key, _) in references.items()})
+    known = reduce(DataFrame.unionByName, [_tagged_keys(ref, {kind: key}) for kind, (key, ref) in references.items()])
     matched = ours.join(known.withColumn("_known", F.lit(True)), ["kind", "key"], "left")
     columns = []
     for kind in references:

@@ -32,13 +32,14 @@ def read_streams(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return split_events(read_raw_events(spark, path))
 
 
-def _read_reference(spark: SparkSession, path: str) -> DataFrame:
-    # Titles may hold quotes, commas and line breaks.
-    return spark.read.csv(path, header=True, escape='"', multiLine=True)
+def _read_reference(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    return spark.read.csv(path, header=True, escape='"', multiLine=multi_line)
 
 
-def read_songs(spark: SparkSession, path: str) -> DataFrame:
-    return _read_reference(spark, path).select(
+def read_songs(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """The song reference. Titles may hold line breaks, which ties each file to one task; a very large
+    reference without them reads in parallel with `multi_line=False`."""
+    return _read_reference(spark, path, multi_line).select(
         "track_id",
         "track_name",
         "track_genre",
@@ -48,13 +49,13 @@ def read_songs(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_users(spark: SparkSession, path: str) -> DataFrame:
-    return _read_reference(spark, path).select(
+def read_users(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    return _read_reference(spark, path, multi_line).select(
         parsing.parse_int(F.col("user_id")).alias("user_id"),
         "user_country",
     )
 
 
-def read_reference_keys(spark: SparkSession, path: str, key: str) -> DataFrame:
+def read_reference_keys(spark: SparkSession, path: str, key: str, multi_line: bool = True) -> DataFrame:
     """The key column of a reference file as raw text, for validation."""
-    return _read_reference(spark, path).select(key)
+    return _read_reference(spark, path, multi_line).select(key)

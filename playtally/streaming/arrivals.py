@@ -32,7 +32,8 @@ _FILE_SCHEMA = "path string, modificationTime timestamp, length long, content bi
 @dataclass(frozen=True)
 class Settings:
     """What a run needs to know. `accumulate` makes files that share a date add up instead of the last
-    one replacing it; `reload_all` loads every archived date after each file, renewing its expiry."""
+    one replacing it; `reload_all` loads every archived date after each file, renewing its expiry;
+    `multi_line_references` allows line breaks in song and user texts, at the price of one task per file."""
 
     songs_path: str
     users_path: str
@@ -42,13 +43,16 @@ class Settings:
     accumulate: bool = False
     reload_all: bool = True
     json_export: bool = False
+    multi_line_references: bool = True
 
 
 def _reference_keys(spark: SparkSession, settings: Settings) -> tuple[DataFrame | None, DataFrame | None]:
     """Track and user keys for validation, or nothing when the reference cannot be read."""
     try:
-        return (inputs.read_reference_keys(spark, settings.songs_path, "track_id"),
-                inputs.read_reference_keys(spark, settings.users_path, "user_id"))
+        return (
+            inputs.read_reference_keys(spark, settings.songs_path, "track_id", settings.multi_line_references),
+            inputs.read_reference_keys(spark, settings.users_path, "user_id", settings.multi_line_references),
+        )
     except Exception as error:  # any unreadable reference only lowers what can be checked
         log.warning("no integrity check, reference data is unreadable: %s", error)
         return None, None
@@ -68,8 +72,8 @@ def _transform(spark: SparkSession, raw: DataFrame, off_format: int, file_name:
                settings: Settings) -> list[str]:
     """Archive the KPIs of the file; returns the dates it touched."""
     layout = settings.layout
-    songs = inputs.read_songs(spark, settings.songs_path)
-    users = inputs.read_users(spark, settings.users_path)
+    songs = inputs.read_songs(spark, settings.songs_path, settings.multi_line_references)
+    users = inputs.read_users(spark, settings.users_path, settings.multi_line_references)
     events, rejects = inputs.split_events(raw)
     if off_format:
         dead_letters.write_rejects(rejects, file_name, layout.rejects)

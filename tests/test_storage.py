@@ -4,6 +4,7 @@ import json
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.errors import StreamingQueryException
 
 from playtally import schemas
 from playtally.operators import kpis as k
@@ -11,6 +12,7 @@ from playtally.operators import serving
 from playtally.plans.load import (Layout, NoDatesError, archive_kpis, load_serving, stored_kpi_items,
                                   stored_top_genre_items)
 from playtally.sources import dead_letters, inputs, keyed, tables
+from playtally.streaming import arrivals
 from playtally.streaming.arrivals import Settings, process_file, run_arrivals
 
 NOW = datetime(2024, 6, 26, 12, tzinfo=timezone.utc)
@@ -213,6 +215,24 @@ def test_failed_file_goes_to_dead_letter_and_the_next_goes_on(spark, deployment)
     assert set(short.columns) == {"status", "record_count", "errors", "validated_at"}
 
 
+def test_batch_that_is_repeated_after_a_crash_changes_nothing(spark, deployment, monkeypatch):
+    folder, layout, _ = deployment
+    (folder / "in" / "one.csv").write_text(events(
+        "1,track000000,2024-06-25 10:00:00", "2,track000001,2024-06-26 10:00:00"))
+
+    def crash_afterwards(*arguments):
+        process_file(*arguments)
+        raise RuntimeError("driver lost before the batch was committed")
+
+    monkeypatch.setattr(arrivals, "process_file", crash_afterwards)
+    with pytest.raises(StreamingQueryException):
+        run(spark, deployment)
+    before = sorted(map(repr, stored_kpi_items(spark, layout, NOW).collect()))
+    monkeypatch.undo()
+    assert len(run(spark, deployment)) == 1
+    assert sorted(map(repr, stored_kpi_items(spark, layout, NOW).collect())) == before and len(before) == 2
+
+
 def test_header_only_file_passes_and_writes_nothing(spark, deployment):
     folder, layout, _ = deployment
     (folder / "in" / "none.csv").write_text(events())
