@@ -36,9 +36,11 @@ def left_join_reference(events: DataFrame, ref: DataFrame, key: str, broadcast:
         broadcast = fits_broadcast(*measured_bytes(ref))
     if broadcast:
         return events.join(F.broadcast(ref), key, "left")
+    # The merge hint keeps the planner, which knows only file sizes, from broadcasting what was measured
+    # to be large, or its repetition per salt.
     others = [name for name in events.columns if name != key]
     if salts == 1 or not others:
-        return events.join(ref, key, "left")
+        return events.join(ref.hint("merge"), key, "left")
     salted = events.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int"))
     spread = ref.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(spread, [key, "_salt"], "left").drop("_salt")
+    return salted.join(spread.hint("merge"), [key, "_salt"], "left").drop("_salt")

@@ -147,6 +147,7 @@ def test_shuffled_salted_join_equals_the_broadcast_join(spark):
     small = sorted(map(repr, left_join_reference(frame, listed, "track_id", broadcast=True).collect()))
     for salts in (1, 8):
         joined = left_join_reference(frame, listed, "track_id", broadcast=False, salts=salts)
+        assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
         assert joined.columns == left_join_reference(frame, listed, "track_id", broadcast=True).columns
         assert sorted(map(repr, joined.collect())) == small
 
