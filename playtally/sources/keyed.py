@@ -13,11 +13,12 @@ from playtally.operators.serving import live
 from playtally.sources.tables import read_table, write_by_date
 
 
-def _touched(existing: DataFrame, new: DataFrame, date: str) -> DataFrame:
-    """The rows of `existing` that share a date with `new`."""
-    span = new.agg(F.min(date).alias("first"), F.max(date).alias("last")).first()
-    # The range prunes partitions when the plan is made; the semi join keeps exactly the touched dates.
-    in_span = existing.where(F.col(date).between(span["first"], span["last"]))
+def _touched(existing: DataFrame, new: DataFrame, first: str, last: str, date: str) -> DataFrame:
+    """The rows of `existing` that share a date with `new`, whose dates lie between `first` and `last`.
+
+    The range prunes partitions when the plan is made; the semi join keeps exactly the touched dates.
+    """
+    in_span = existing.where(F.col(date).between(first, last))
     return in_span.join(new.select(date).distinct(), date, "left_semi")
 
 
@@ -25,14 +26,16 @@ def upsert(new: DataFrame, root: str, schema: StructType, keys: tuple[str, ...],
            checkpoints: str, version: str = "processed_at", date: str = "date") -> None:
     """Put every row of `new` by key. Keys of the same dates that `new` lacks stay; expired ones go.
 
-    The merged rows are made durable before the table is touched, so a write that fails half-way can be
-    repeated from them.
+    `new` is read more than once, so it should come from a stored table. The merged rows are made durable
+    before the table is touched, so a write that fails half-way can be repeated from them.
     """
-    new = durable(new.select(*schema.fieldNames()), checkpoints)
-    if new.isEmpty():
+    new = new.select(*schema.fieldNames())
+    span = new.agg(F.min(date).alias("first"), F.max(date).alias("last")).first()
+    if span["first"] is None:
         return
     existing = live(read_table(new.sparkSession, root, schema), now)
-    merged = durable(merge_latest(_touched(existing, new, date), new, keys, version), checkpoints)
+    touched = _touched(existing, new, span["first"], span["last"], date)
+    merged = durable(merge_latest(touched, new, keys, version), checkpoints)
     write_by_date(merged, root, date=date, order=keys)
 
 

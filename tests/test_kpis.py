@@ -188,12 +188,13 @@ def executed(df):
     return plan.split("== Initial Plan ==")[0]
 
 
-def test_plan_shuffles_events_once_for_copies_and_limits_groups_early(spark):
+@pytest.mark.parametrize("counts", [None, StageCounts()])
+def test_plan_shuffles_events_once_for_copies_and_limits_groups_early(spark, counts):
     from tests.conftest import TESTDATA
     from playtally.plans import bindings
     sf = str(TESTDATA / "sf0.001")
     plan = executed(daily_kpis(bindings.lineitem_streams(spark, sf), bindings.songs(spark, sf),
-                               bindings.users(spark, sf)))
+                               bindings.users(spark, sf), counts))
     assert "ReusedExchange" in plan
     keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
     deduplicating = [key for key in keys if "listen_time" in key]
