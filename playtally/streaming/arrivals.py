@@ -7,6 +7,7 @@ crash: every write replaces what it wrote before.
 """
 
 import logging
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
@@ -46,6 +47,11 @@ class Settings:
     multi_line_references: bool = True
 
 
+def _literal(path: str) -> str:
+    """The path with pattern characters escaped, so that a reader takes it as the name of one file."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def _reference_keys(spark: SparkSession, settings: Settings) -> tuple[DataFrame | None, DataFrame | None]:
     """Track and user keys for validation, or nothing when the reference cannot be read."""
     try:
@@ -113,7 +119,8 @@ def process_file(spark: SparkSession, path: str, file_name: str, settings: Setti
             return "done"
     except Exception as error:
         log.exception("%s failed in stage %s", file_name, stage)
-        errors = [f"{type(error).__name__}: {error}"]
+        message = str(error).strip().partition("\n")[0]  # without the stack trace of the executors
+        errors = [f"{type(error).__name__}: {message}"]
     dead_letters.write_dead_letter(spark, path, file_name, stage, errors, settings.layout.dead_letters)
     return stage
 
@@ -135,7 +142,7 @@ def run_arrivals(spark: SparkSession, source: str, settings: Settings, checkpoin
     def handle(batch: DataFrame, batch_id: int) -> None:
         # At most `files_per_trigger` names; in arrival order, so that the last write wins.
         for file in batch.orderBy("modificationTime", "path").collect():
-            outcome = process_file(batch.sparkSession, file["path"], file["file_name"], settings)
+            outcome = process_file(batch.sparkSession, _literal(file["path"]), file["file_name"], settings)
             log.info("batch %d: %s %s", batch_id, file["file_name"], outcome)
 
     writer = files.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)

@@ -156,6 +156,14 @@ def test_items_fill_what_is_absent(spark):
     assert items[0].processed_at == "2024-06-25T10:00:00.000000+00:00"
 
 
+def test_songs_that_are_not_text_are_written_as_text(spark):
+    nested = spark.createDataFrame([("g", "2024-06-25", [(1, "t")])], "track_genre string, listen_date string, "
+                                   "top_3_songs array<struct<rank: int, track_id: string>>")
+    for name in ("listen_count", "unique_listeners", "total_listen_time_ms", "avg_listen_time_ms"):
+        nested = nested.withColumn(name, F.lit(1))
+    assert kpi_items(nested, NOW).first().top_3_songs == '[{"rank":1,"track_id":"t"}]'
+
+
 def test_top_genre_item_lists_by_rank(spark):
     rows = [("2024-06-25", "b", 3, 2), ("2024-06-25", "a", 5, 1)]
     item = top_genre_items(spark.createDataFrame(rows, schemas.TOP_GENRE_ROWS), NOW).first()

@@ -1,6 +1,7 @@
 """Dated archives, keyed tables, reports, and the file-arrival stream, on temporary folders."""
 
 import json
+import os
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -67,6 +68,11 @@ def test_archive_splits_dates_and_keeps_others(spark, layout):
             ("a", "2024-06-25"), ("c", "2024-06-26")]
     only = tables.read_top_genres(spark, layout.archive("top_genres"), dates=["2024-06-25"])
     assert rows(only.select("track_genre", "rank")) == [("a", 1)]
+    # Either format feeds the serving tables.
+    report = load_serving(spark, layout, NOW, fmt="json").first()
+    assert (report.kpi_items_written, report.top_genre_items_written) == (2, 2)
+    assert rows(serving.trend(stored_kpi_items(spark, layout, NOW), "c").select("date", "top_3_songs")) == [
+        ("2024-06-26", "[]")]
 
 
 def test_dates_are_found_by_their_shape(spark, layout):
@@ -171,7 +177,8 @@ def test_arrivals_validate_compute_and_store(spark, deployment):
     (folder / "in" / "one.csv").write_text(events(
         "1,track000000,2024-06-25 10:00:00", "2,track000000,2024-06-25 10:00:00", "1,track000000,2024-06-25 10:00:00",
         "1,track000001,2024-06-26 10:00:00"))
-    (folder / "in" / "two.csv").write_text(events(
+    os.utime(folder / "in" / "one.csv", (1, 1))  # arrived first
+    (folder / "in" / "two [x] 100%.csv").write_text(events(
         "2024-06-27 09:00:00,track000002,2,x", header="listen_time,track_id,user_id,extra"))
     assert len(run(spark, deployment)) == 2
     items = stored_kpi_items(spark, layout, NOW)
@@ -181,7 +188,8 @@ def test_arrivals_validate_compute_and_store(spark, deployment):
     assert songs == [{"rank": 1, "track_id": "track000000", "track_name": 'Song "0", live', "song_listen_count": 2}]
     report = spark.read.json(f"{layout.root}/processed/reports/validation_one.json").first()
     assert report.status == "PASSED" and report.record_count == 4 and report.duplicate_rows == 1
-    loaded = spark.read.json(f"{layout.root}/processed/reports/ingestion_two.json").first()
+    report_path = str(folder / "out" / "processed" / "reports" / "ingestion_two ?x? 100%.json")
+    loaded = spark.read.json(report_path).first()
     assert loaded.partitions == ["2024-06-25", "2024-06-26", "2024-06-27"] and loaded.kpi_items_written == 3
 
     # A restart takes only what is new, and archives what earlier batches have confirmed.
