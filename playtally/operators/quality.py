@@ -58,31 +58,36 @@ def duplicate_rows(raw: DataFrame) -> DataFrame:
     return _distinct_rows(raw).agg(_repeats())
 
 
-def row_metrics(raw: DataFrame) -> DataFrame:
+def _agg(df: DataFrame, by: tuple[str, ...], columns: list[Column]) -> DataFrame:
+    return df.groupBy(*by).agg(*columns) if by else df.agg(*columns)
+
+
+def row_metrics(raw: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """`quality_metrics` and `duplicate_rows` together, parsing each different row once."""
-    return _distinct_rows(raw).agg(*_metric_columns(F.col("_copies")), _repeats())
+    return _agg(_distinct_rows(raw), by, [*_metric_columns(F.col("_copies")), _repeats()])
 
 
-def _tagged_keys(df: DataFrame, keys: dict[str, str]) -> DataFrame:
+def _tagged_keys(df: DataFrame, keys: dict[str, str], by: tuple[str, ...] = ()) -> DataFrame:
     """Distinct (kind, key) pairs of `df` as comparable text; absent keys are left out."""
     texts = {kind: F.col(key).cast("string") for kind, key in keys.items()}
     if "user" in texts:
         texts["user"] = parsing.key_text(texts["user"])
     pairs = F.array(*[F.struct(F.lit(kind).alias("kind"), text.alias("key")) for kind, text in texts.items()])
-    return df.select(F.inline(pairs)).where(F.col("key").isNotNull()).distinct()
+    return df.select(*by, F.inline(pairs)).where(F.col("key").isNotNull()).distinct()
 
 
 def _share(unknown: Column, distinct: Column) -> Column:
     return F.when(distinct > 0, unknown / distinct).otherwise(F.lit(0.0))
 
 
-def key_coverage(events: DataFrame, references: dict[str, tuple[str, DataFrame]]) -> DataFrame:
+def key_coverage(events: DataFrame, references: dict[str, tuple[str, DataFrame]],
+                 by: tuple[str, ...] = ()) -> DataFrame:
     """Per kind: `distinct_<kind>s` keys in the events and how many of them (`unknown_<kind>s`) its
     reference lacks. `references` maps a kind to (key column, reference frame).
 
     All kinds share one pass. Both sides are distinct before they meet, so no key is hot in the join.
     """
-    ours = _tagged_keys(events, {kind: key for kind, (key, _) in references.items()})
+    ours = _tagged_keys(events, {kind: key for kind, (key, _) in references.items()}, by)
     known = reduce(DataFrame.unionByName, [_tagged_keys(ref, {kind: key}) for kind, (key, ref) in references.items()])
     matched = ours.join(known.withColumn("_known", F.lit(True)), ["kind", "key"], "left")
     columns = []
@@ -90,7 +95,7 @@ def key_coverage(events: DataFrame, references: dict[str, tuple[str, DataFrame]]
         of_kind = F.col("kind") == kind
         columns.append(F.count_if(of_kind).alias(f"distinct_{kind}s"))
         columns.append(F.count_if(of_kind & F.col("_known").isNull()).alias(f"unknown_{kind}s"))
-    return matched.agg(*columns)
+    return _agg(matched, by, columns)
 
 
 def unknown_users(events: DataFrame, users: DataFrame) -> DataFrame:
@@ -105,16 +110,19 @@ def unknown_tracks(events: DataFrame, songs: DataFrame) -> DataFrame:
         "unknown_track_pct", F.bround(_share(F.col("unknown_tracks"), F.col("distinct_tracks")), 4))
 
 
-def validation_metrics(raw: DataFrame, songs: DataFrame | None, users: DataFrame | None) -> DataFrame:
-    """One row with every number the verdict needs. Without reference tables the coverage is null."""
-    rows = row_metrics(raw)
+def validation_metrics(raw: DataFrame, songs: DataFrame | None, users: DataFrame | None,
+                       by: tuple[str, ...] = ()) -> DataFrame:
+    """One row (per value of `by`) with every number the verdict needs. Without reference tables the
+    coverage is null."""
+    rows = row_metrics(raw, by)
     coverage_columns = ["distinct_users", "unknown_users", "distinct_tracks", "unknown_tracks"]
     if songs is None or users is None:
         return rows.select("*", *[F.lit(None).cast("bigint").alias(name) for name in coverage_columns])
-    coverage = key_coverage(raw, {"user": ("user_id", users), "track": ("track_id", songs)})
-    # Each part is a single row with its own columns, so taking the maximum lays them side by side.
+    coverage = key_coverage(raw, {"user": ("user_id", users), "track": ("track_id", songs)}, by)
+    # Each part has a single row with its own columns, so taking the maximum lays them side by side.
     parts = rows.unionByName(coverage, allowMissingColumns=True)
-    return parts.agg(*[F.max(name).alias(name) for name in rows.columns + coverage_columns])
+    names = [name for name in rows.columns + coverage_columns if name not in by]
+    return _agg(parts, by, [F.coalesce(F.max(name), F.lit(0)).alias(name) for name in names])
 
 
 def _percent(share: Column, decimals: int) -> Column:
@@ -148,26 +156,17 @@ def _schema_report(raw: DataFrame, missing: list[str], now: datetime) -> DataFra
     )
 
 
-def validation_verdict(raw: DataFrame, songs: DataFrame | None, users: DataFrame | None, now: datetime,
-                       input_key: str) -> DataFrame:
-    """One row: the report columns, and `off_format_time`, the accepted rows that will belong to no day.
-
-    Missing columns end the checks. Duplicates and absent reference tables are reported, not failed.
-    """
-    missing = missing_columns(raw)
-    if missing:
-        return _schema_report(raw, missing, now)
+def _judge(metrics: DataFrame, input_key: Column, now: datetime) -> DataFrame:
     counts = F.create_map(*[part for name, alias in NULL_COUNTS.items() for part in (F.lit(name), F.col(alias))])
     bad_time_share = _share(F.col("unparseable_time"), F.col("record_count"))
     # The share of unknown keys is null, and so never above the limit, without reference tables.
     user_share = F.when(F.col("distinct_users").isNotNull(), _share(F.col("unknown_users"), F.col("distinct_users")))
     track_share = F.when(F.col("distinct_tracks").isNotNull(),
                          _share(F.col("unknown_tracks"), F.col("distinct_tracks")))
-    judged = validation_metrics(raw, songs, users).withColumn(
-        "errors", _error_texts(bad_time_share, user_share, track_share))
+    judged = metrics.withColumn("errors", _error_texts(bad_time_share, user_share, track_share))
     return judged.select(
         F.when(F.size("errors") > 0, schemas.FAILED).otherwise(schemas.PASSED).alias("status"),
-        F.lit(input_key).alias("input_key"),
+        input_key.alias("input_key"),
         "record_count",
         counts.alias("null_counts"),
         F.bround(user_share, 4).alias("unknown_user_pct"),
@@ -179,6 +178,24 @@ def validation_verdict(raw: DataFrame, songs: DataFrame | None, users: DataFrame
     )
 
 
+def validation_verdict(raw: DataFrame, songs: DataFrame | None, users: DataFrame | None, now: datetime,
+                       input_key: str) -> DataFrame:
+    """One row: the report columns, and `off_format_time`, the accepted rows that will belong to no day.
+
+    Missing columns end the checks. Duplicates and absent reference tables are reported, not failed.
+    """
+    missing = missing_columns(raw)
+    if missing:
+        return _schema_report(raw, missing, now)
+    return _judge(validation_metrics(raw, songs, users), F.lit(input_key), now)
+
+
+def file_verdicts(raw: DataFrame, songs: DataFrame | None, users: DataFrame | None, now: datetime,
+                  file: str) -> DataFrame:
+    """The verdict on each file of a batch, told apart by column `file`, in one job for all of them."""
+    return _judge(validation_metrics(raw, songs, users, (file,)), F.col(file), now)
+
+
 def validation_report(raw: DataFrame, songs: DataFrame | None, users: DataFrame | None, now: datetime,
                       input_key: str) -> DataFrame:
     """One row: the verdict over the whole batch with its numbers and messages."""

@@ -1,6 +1,6 @@
 """Where failed files and unusable rows go. Every write can be repeated without duplicating anything."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playtally import schemas
@@ -23,6 +23,6 @@ def read_dead_letters(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(schemas.DEAD_LETTER).parquet(root)
 
 
-def write_rejects(rejects: DataFrame, file_name: str, root: str) -> None:
-    """Keep the rows of an accepted file that belong to no day."""
-    replace_partitions(rejects.select(*schemas.REQUIRED_COLUMNS, F.lit(file_name).alias("file_name")), root, "file_name")
+def write_rejects(rejects: DataFrame, file_name: Column, root: str) -> None:
+    """Keep the rows of accepted files that belong to no day."""
+    replace_partitions(rejects.select(*schemas.REQUIRED_COLUMNS, file_name.alias("file_name")), root, "file_name")

@@ -2,7 +2,7 @@
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -17,19 +17,18 @@ _ARCHIVED = StructType([
 ])
 
 
-def archive_events(events: DataFrame, file_name: str, root: str) -> None:
-    """Store the events of one file under their dates; a repeat replaces them. Large dates are split."""
-    dated = events.withColumns({
-        "listen_date": parsing.listen_date(F.col("listen_time")),
-        "file_name": F.lit(file_name),
-    })
-    replace_partitions(dated.hint("rebalance", F.col("listen_date")), root, "listen_date", "file_name")
+def archive_events(events: DataFrame, file_name: Column, root: str) -> None:
+    """Store the events of one or more files under their dates; a repeat replaces them. Large dates are
+    split."""
+    dated = events.withColumns({"listen_date": parsing.listen_date(F.col("listen_time")), "file_name": file_name})
+    archived = dated.select(*_ARCHIVED.fieldNames()).hint("rebalance", F.col("listen_date"))
+    replace_partitions(archived, root, "listen_date", "file_name")
 
 
-def archived_dates(spark: SparkSession, root: str, file_name: str) -> list[str]:
-    """The dates a file has events on; reads only partition names."""
-    of_file = read_table(spark, root, _ARCHIVED).where(F.col("file_name") == file_name)
-    return of_file.agg(F.array_sort(F.collect_set("listen_date")).alias("dates")).first()["dates"]
+def archived_dates(spark: SparkSession, root: str, *file_names: str) -> list[str]:
+    """The dates some files have events on; reads only partition names."""
+    of_files = read_table(spark, root, _ARCHIVED).where(F.col("file_name").isin(*file_names))
+    return of_files.agg(F.array_sort(F.collect_set("listen_date")).alias("dates")).first()["dates"]
 
 
 def read_events(spark: SparkSession, root: str, dates: Iterable[str] | None = None) -> DataFrame:

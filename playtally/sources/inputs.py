@@ -12,19 +12,39 @@ def read_raw_events(spark: SparkSession, path: str) -> DataFrame:
     return raw.select([parsing.null_if_token(F.col(f"`{name}`")).alias(name) for name in raw.columns])
 
 
-def type_events(raw: DataFrame) -> DataFrame:
-    """The three event columns with their types; text that does not parse becomes null."""
+def read_raw_files(spark: SparkSession, paths: list[str], file: str) -> DataFrame:
+    """Several event files with one and the same header, each row with its file name in column `file`.
+
+    A file with another header makes the job fail instead of being read by position.
+    """
+    raw = spark.read.csv(paths, header=True, escape='"', enforceSchema=False)
+    cells = [parsing.null_if_token(F.col(f"`{name}`")).alias(name) for name in raw.columns]
+    # The reader hands out names as in a URL, where a plain plus would mean a blank.
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    return raw.select(*cells, name.alias(file))
+
+
+def type_events(raw: DataFrame, *others: str) -> DataFrame:
+    """The three event columns with their types, and `others` as they are; text that does not parse
+    becomes null."""
     return raw.select(
         parsing.parse_int(F.col("user_id")).alias("user_id"),
         F.col("track_id"),
         parsing.parse_listen_time(F.col("listen_time")).alias("listen_time"),
+        *others,
     )
 
 
+def usable_rows(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The raw rows that belong to a day, and those that have no usable listen_time."""
+    usable = parsing.parse_listen_time(F.col("listen_time")).isNotNull()
+    return raw.where(usable), raw.where(~usable)
+
+
 def split_events(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Typed events, and the raw rows that have no usable listen_time and so belong to no day."""
-    usable = parsing.parse_listen_time(F.col("listen_time")).isNotNull()
-    return type_events(raw.where(usable)), raw.where(~usable)
+    usable, rejects = usable_rows(raw)
+    return type_events(usable), rejects
 
 
 def read_streams(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

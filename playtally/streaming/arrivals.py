@@ -1,8 +1,9 @@
-"""Files that arrive in a folder, handled one by one: validate, compute, store.
+"""Files that arrive in a folder: validate, compute, store.
 
 The stream only detects arrivals (its checkpoint makes sure no file is taken twice) and archives sources
 that a later batch has confirmed. Each file is then read as a batch by its header, so column order and
-extra columns do not matter, and a large file is split over the cluster. A batch may be repeated after a
+extra columns do not matter, and a large file is split over the cluster. Where files add up, those of
+one batch that share a header go through together, still with a verdict on each. A batch may be repeated after a
 crash: every write replaces what it wrote before.
 """
 
@@ -20,13 +21,14 @@ from playtally import schemas
 from playtally.functions.clock import system_clock
 from playtally.functions.counts import StageCounts
 from playtally.functions.parsing import base_name
-from playtally.operators.quality import validation_verdict
+from playtally.operators.quality import file_verdicts, missing_columns, validation_verdict
 from playtally.plans.daily import daily_kpis
 from playtally.plans.load import Layout, archive_kpis, load_serving, recompute_dates
 from playtally.sources import dead_letters, event_archive, inputs, reports
 
 log = logging.getLogger(__name__)
 
+_FILE = "_file"
 _FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -82,13 +84,13 @@ def _transform(spark: SparkSession, raw: DataFrame, off_format: int, file_name:
     users = inputs.read_users(spark, settings.users_path, settings.multi_line_references)
     events, rejects = inputs.split_events(raw)
     if off_format:
-        dead_letters.write_rejects(rejects, file_name, layout.rejects)
+        dead_letters.write_rejects(rejects, F.lit(file_name), layout.rejects)
     if not settings.accumulate:
         counts = StageCounts()
         dates = archive_kpis(daily_kpis(events, songs, users, counts), layout, settings.json_export)
         log.info("%s: %s", file_name, counts.all())
         return dates
-    event_archive.archive_events(events, file_name, layout.events)
+    event_archive.archive_events(events, F.lit(file_name), layout.events)
     return recompute_dates(spark, layout, songs, users, event_archive.archived_dates(spark, layout.events, file_name),
                            settings.json_export)
 
@@ -125,6 +127,41 @@ def process_file(spark: SparkSession, path: str, file_name: str, settings: Setti
     return stage
 
 
+def process_together(spark: SparkSession, files: dict[str, str], settings: Settings) -> None:
+    """Take several files (name to path) through all stages in one job per stage instead of one per file.
+
+    Only where files add up (`accumulate`) is the outcome the same as one by one. Raises when the files
+    do not share a header or a stage fails; nothing is lost then, as one by one repeats every write.
+    """
+    layout, now = settings.layout, settings.clock()
+    raw = inputs.read_raw_files(spark, list(files.values()), _FILE)
+    if missing_columns(raw):
+        raise ValueError("required columns are missing")
+    # One row per file of this batch.
+    verdicts = file_verdicts(raw, *_reference_keys(spark, settings), now, _FILE).collect()
+    for verdict in verdicts:
+        name = verdict["input_key"]
+        reports.write_validation_report(spark, verdict, layout.root, name)
+        if verdict["status"] == schemas.FAILED:
+            dead_letters.write_dead_letter(spark, files[name], name, "validation", verdict["errors"],
+                                           layout.dead_letters)
+    passed = [verdict["input_key"] for verdict in verdicts if verdict["status"] == schemas.PASSED]
+    if not passed:
+        return
+    accepted = raw.where(F.col(_FILE).isin(*passed))
+    usable, rejects = inputs.usable_rows(accepted)
+    if any(verdict["off_format_time"] for verdict in verdicts if verdict["input_key"] in passed):
+        dead_letters.write_rejects(rejects, F.col(_FILE), layout.rejects)
+    event_archive.archive_events(inputs.type_events(usable, _FILE), F.col(_FILE), layout.events)
+    dates = recompute_dates(
+        spark, layout, inputs.read_songs(spark, settings.songs_path, settings.multi_line_references),
+        inputs.read_users(spark, settings.users_path, settings.multi_line_references),
+        event_archive.archived_dates(spark, layout.events, *passed), settings.json_export)
+    if dates:
+        # One load for all of them, reported under the name of the last.
+        _load(spark, dates, [name for name in files if name in passed][-1], settings)
+
+
 def run_arrivals(spark: SparkSession, source: str, settings: Settings, checkpoint: str,
                  files_per_trigger: int = 1, once: bool = True) -> StreamingQuery:
     """Start handling the CSV files in `source`: those present (`once`), or also all that arrive later."""
@@ -141,9 +178,16 @@ def run_arrivals(spark: SparkSession, source: str, settings: Settings, checkpoin
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         # At most `files_per_trigger` names; in arrival order, so that the last write wins.
-        for file in batch.orderBy("modificationTime", "path").collect():
-            outcome = process_file(batch.sparkSession, _literal(file["path"]), file["file_name"], settings)
-            log.info("batch %d: %s %s", batch_id, file["file_name"], outcome)
+        arrived = {file["file_name"]: _literal(file["path"])
+                   for file in batch.orderBy("modificationTime", "path").collect()}
+        if settings.accumulate and len(arrived) > 1:
+            try:
+                return process_together(batch.sparkSession, arrived, settings)
+            except Exception as error:
+                log.warning("batch %d goes one by one: %s", batch_id, str(error).partition("\n")[0])
+        for file_name, path in arrived.items():
+            outcome = process_file(batch.sparkSession, path, file_name, settings)
+            log.info("batch %d: %s %s", batch_id, file_name, outcome)
 
     writer = files.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="10 seconds")

@@ -282,6 +282,39 @@ def test_files_that_share_a_date_replace_or_add_up(spark, deployment, accumulate
     assert rows(stored_kpi_items(spark, layout, NOW).select("genre", "listen_count")) == [("pop", plays)]
 
 
+def together(deployment):
+    folder, layout, settings = deployment
+    return Settings(settings.songs_path, settings.users_path, layout, clock=lambda: NOW, accumulate=True)
+
+
+def test_files_of_one_batch_go_together_with_a_verdict_on_each(spark, deployment, monkeypatch):
+    folder, layout, _ = deployment
+    day = [f"1,track000000,2024-06-25 {h:02}:{m:02}:00" for h in range(20) for m in range(60)]
+    (folder / "in" / "a+b [1] 100%.csv").write_text(events(*day, "2,track000000,later"))
+    (folder / "in" / "b.csv").write_text(events("2,track000000,2024-06-25 11:00:00", "2,track000001,2024-06-26 11:00:00"))
+    (folder / "in" / "bad.csv").write_text(events("x,track000000,2024-06-25 12:00:00", "9,track000000,2024-06-25 12:00:00"))
+    monkeypatch.setattr(arrivals, "process_file", None)  # nothing goes one by one
+    assert len(run(spark, deployment, together(deployment), files_per_trigger=10)) == 1
+    items = stored_kpi_items(spark, layout, NOW)
+    assert rows(items.select("genre", "date", "listen_count", "unique_listeners")) == [
+        ("pop", "2024-06-25", 1201, 2), ("rock", "2024-06-26", 1, 1)]
+    letters = dead_letters.read_dead_letters(spark, layout.dead_letters).select("file_name", "stage").distinct()
+    assert rows(letters) == [("bad.csv", "validation")]
+    assert rows(spark.read.parquet(layout.rejects)) == [("2", "track000000", "later", "a+b [1] 100%.csv")]
+    report = spark.read.json(f"{layout.root}/processed/reports/validation_b.json").first()
+    assert (report.status, report.input_key, report.record_count) == ("PASSED", "b.csv", 2)
+    failed = spark.read.json(f"{layout.root}/dead-letter/reports/validation_bad.json").first()
+    assert failed.errors[0] == "user_id has 1 non-numeric value(s)" and failed.unknown_user_pct == 1.0
+
+
+def test_files_with_other_headers_go_one_by_one(spark, deployment):
+    folder, layout, _ = deployment
+    (folder / "in" / "a.csv").write_text(events("1,track000000,2024-06-25 10:00:00"))
+    (folder / "in" / "b.csv").write_text(events("2024-06-25 11:00:00,track000000,2", header="listen_time,track_id,user_id"))
+    run(spark, deployment, together(deployment), files_per_trigger=10)
+    assert rows(stored_kpi_items(spark, layout, NOW).select("genre", "listen_count", "unique_listeners")) == [("pop", 2, 2)]
+
+
 def test_rows_without_a_day_are_set_aside(spark, deployment):
     folder, layout, _ = deployment
     good = [f"1,track000000,2024-06-25 {h:02}:{m:02}:00" for h in range(20) for m in range(60)]
