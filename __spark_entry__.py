@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from importlib import import_module
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,7 +106,24 @@ def entry(spark: SparkSession) -> DataFrame:
     return _lineitem_kpis(spark, FLAGSHIP_DIR)
 
 
+def _training_data(what: str) -> dict:
+    """Queries or SQL of the training-data operators, nothing where their folders were taken out."""
+    try:
+        present = find_spec("playtally.llm.registry") and find_spec("corpus_pipeline")
+    except ModuleNotFoundError:
+        return {}
+    return getattr(import_module("playtally.llm.registry"), what)() if present else {}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return own_queries() | _training_data("queries")
+
+
+def oracle_sql() -> dict[str, str]:
+    return own_sql() | _training_data("oracle_sql")
+
+
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "typed_parse": lambda s, d: _shown(type_events(bindings.dirty_raw(s, d))),
         "dedup_events": lambda s, d: _shown(enrich.dedup_events(bindings.lineitem_streams(s, d))),
@@ -321,7 +340,7 @@ def _with(*ctes: str) -> str:
     return "with " + ",\n".join(ctes) + "\n"
 
 
-def oracle_sql() -> dict[str, str]:
+def own_sql() -> dict[str, str]:
     user = "cast(user_id as varchar) as user_id"
     stamp = "strftime(listen_time, '%Y-%m-%d %H:%M:%S.%f') as listen_time"
     line = _with(_SONGS, _USERS, _line(), _enriched_sql())

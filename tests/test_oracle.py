@@ -33,13 +33,13 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(contract.own_queries()) == set(contract.own_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.own_queries()))
 def test_matches_sql(spark, db, name):
-    ours = contract.queries()[name](spark, str(SCALE))
-    cursor = db.execute(contract.oracle_sql()[name])
+    ours = contract.own_queries()[name](spark, str(SCALE))
+    cursor = db.execute(contract.own_sql()[name])
     theirs = normal([column[0] for column in cursor.description], cursor.fetchall())
     got = normal(ours.columns, [tuple(row) for row in ours.collect()])
     assert got[0] == theirs[0]
