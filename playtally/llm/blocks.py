@@ -16,14 +16,14 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BYTE_CODES = np.random.default_rng(20240601).integers(1, 2**63, 256, dtype=np.uint64)
 
 
-def text_blocks(texts: list, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
+def text_blocks(texts: list, limit: int = BLOCK_BYTES, gap: int = 1) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
     """(first row, row after the last, bytes, n + 1 offsets) of runs of texts; a null is empty.
 
-    A newline follows each text, so words of neighbours never join; offsets count it to the text before.
+    `gap` newlines follow each text, so words of neighbours never join; offsets count them to the text before.
     """
     first, size, parts = 0, 0, []
     for row, text in enumerate(texts):
-        part = (text.encode("utf-8", "surrogatepass") if isinstance(text, str) else bytes(text or b"")) + b"\n"
+        part = (text.encode("utf-8", "surrogatepass") if isinstance(text, str) else bytes(text or b"")) + b"\n" * gap
         if parts and size + len(part) > limit:
             yield first, row, b"".join(parts), np.cumsum([0, *map(len, parts)])
             first, size, parts = row, 0, []

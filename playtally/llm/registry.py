@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from playtally.llm import chat
+from playtally.llm import chat, language, quality
 
 
 def queries() -> dict[str, Callable]:
     return {
         "op1_chat_format": chat.chat_format,
+        "op3_quality_rules": quality.quality_rules,
+        "op8_language_id": language.language_id,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_chat_format": chat.SQL,
+        "op3_quality_rules": quality.SQL,
     }
