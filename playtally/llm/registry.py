@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from playtally.llm import chat, language, quality
+from playtally.llm import chat, decontaminate, language, quality
 
 
 def queries() -> dict[str, Callable]:
     return {
         "op1_chat_format": chat.chat_format,
         "op3_quality_rules": quality.quality_rules,
+        "op7_decontaminate": decontaminate.decontaminate,
         "op8_language_id": language.language_id,
     }
 
@@ -19,4 +20,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_chat_format": chat.SQL,
         "op3_quality_rules": quality.SQL,
+        "op7_decontaminate": decontaminate.SQL,
     }
