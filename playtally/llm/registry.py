@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from playtally.llm import chat, decontaminate, language, quality
+from playtally.llm import chat, decontaminate, language, pii, quality
 
 
 def queries() -> dict[str, Callable]:
@@ -13,6 +13,7 @@ def queries() -> dict[str, Callable]:
         "op3_quality_rules": quality.quality_rules,
         "op7_decontaminate": decontaminate.decontaminate,
         "op8_language_id": language.language_id,
+        "op10_pii": pii.pii,
     }
 
 
