@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from playtally.llm import chat, decontaminate, language, pii, quality
+from playtally.llm import chat, decontaminate, language, pieces, pii, quality
 
 
 def queries() -> dict[str, Callable]:
     return {
         "op1_chat_format": chat.chat_format,
         "op3_quality_rules": quality.quality_rules,
+        "op4_sentencepiece_nbest": pieces.sentencepiece_nbest,
         "op7_decontaminate": decontaminate.decontaminate,
         "op8_language_id": language.language_id,
         "op10_pii": pii.pii,
