@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from playtally.llm import chat, decontaminate, language, pieces, pii, quality
+from playtally.llm import chat, decontaminate, language, neardup, pieces, pii, quality
 
 
 def queries() -> dict[str, Callable]:
@@ -12,6 +12,7 @@ def queries() -> dict[str, Callable]:
         "op1_chat_format": chat.chat_format,
         "op3_quality_rules": quality.quality_rules,
         "op4_sentencepiece_nbest": pieces.sentencepiece_nbest,
+        "op5_minhash_neardup": neardup.minhash_neardup,
         "op7_decontaminate": decontaminate.decontaminate,
         "op8_language_id": language.language_id,
         "op10_pii": pii.pii,
@@ -22,5 +23,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_chat_format": chat.SQL,
         "op3_quality_rules": quality.SQL,
+        "op5_minhash_neardup": neardup.SQL,
         "op7_decontaminate": decontaminate.SQL,
     }
