@@ -7,11 +7,10 @@ block of its own; nothing is cut.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BYTE_CODES = np.random.default_rng(20240601).integers(1, 2**63, 256, dtype=np.uint64)
 
@@ -64,18 +63,17 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-@lru_cache(maxsize=4)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    up = np.full(n, _BASE)
-    up[0] = 1
-    down = np.full(n, np.uint64(pow(int(_BASE), -1, 1 << 64)))
-    down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse; lengths are rounded up so that few are ever computed."""
-    return _powers(1 << max(12, int(n).bit_length()))
+def powers(n: int) -> list[np.ndarray]:
+    """At least n powers of the base and of its inverse, kept by the worker."""
+    if len(_powers[0]) < n:
+        for i, base in enumerate((int(_BASE), pow(int(_BASE), -1, 1 << 64))):
+            steps = np.full(max(n, BLOCK_BYTES + 64), base, np.uint64)
+            steps[0] = 1
+            _powers[i] = np.cumprod(steps)
+    return _powers
 
 
 def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

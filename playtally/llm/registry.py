@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from playtally.llm import chat, decontaminate, language, neardup, pieces, pii, quality
+from playtally.llm import chat, decontaminate, language, neardup, pieces, pii, quality, repeats
 
 
 def queries() -> dict[str, Callable]:
@@ -13,6 +13,7 @@ def queries() -> dict[str, Callable]:
         "op3_quality_rules": quality.quality_rules,
         "op4_sentencepiece_nbest": pieces.sentencepiece_nbest,
         "op5_minhash_neardup": neardup.minhash_neardup,
+        "op6_suffix_dedup": repeats.suffix_dedup,
         "op7_decontaminate": decontaminate.decontaminate,
         "op8_language_id": language.language_id,
         "op10_pii": pii.pii,
