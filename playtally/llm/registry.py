@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from playtally.llm import chat, decontaminate, language, neardup, pieces, pii, quality, repeats
+from playtally.llm import chat, decontaminate, language, neardup, pieces, pii, quality, repeats, secrets
 
 
 def queries() -> dict[str, Callable]:
     return {
         "op1_chat_format": chat.chat_format,
+        "op2_secret_scan": secrets.secret_scan,
         "op3_quality_rules": quality.quality_rules,
         "op4_sentencepiece_nbest": pieces.sentencepiece_nbest,
         "op5_minhash_neardup": neardup.minhash_neardup,
