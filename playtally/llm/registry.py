@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from playtally.llm import chat, decontaminate, language, neardup, pieces, pii, quality, repeats, secrets
+from playtally.llm import chat, decontaminate, language, licenses, neardup, pieces, pii, quality, repeats, secrets
 
 
 def queries() -> dict[str, Callable]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable]:
         "op6_suffix_dedup": repeats.suffix_dedup,
         "op7_decontaminate": decontaminate.decontaminate,
         "op8_language_id": language.language_id,
+        "op9_license_scan": licenses.license_scan,
         "op10_pii": pii.pii,
     }
 
@@ -27,4 +28,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_quality_rules": quality.SQL,
         "op5_minhash_neardup": neardup.SQL,
         "op7_decontaminate": decontaminate.SQL,
+        "op9_license_scan": licenses.SQL,
     }
