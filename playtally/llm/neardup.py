@@ -178,10 +178,11 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def group(docs: DataFrame) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_shingles, component_id, kept."""
+def _grouped(docs: DataFrame) -> DataFrame:
+    """One row per row of `docs`: doc_id, text_key (64 bits of the text's hash), n_shingles, component_id, kept."""
     signed = F.pandas_udf(_signed, "n bigint, name bigint, check bigint, posts array<bigint>")
-    base = cut(docs.select("doc_id", signed("text").alias("s")).select("doc_id", "s.*"))
+    base = cut(docs.select("doc_id", F.xxhash64("text").alias("text_key"), signed("text").alias("s"))
+               .select("doc_id", "text_key", "s.*"))
     classes = cut(base.where("n > 0").groupBy("name", "check").agg(
         F.min("doc_id").alias("first_id"), F.first("posts").alias("posts")))
     prefix = cut(prefix_postings(classes))
@@ -204,12 +205,30 @@ def group(docs: DataFrame) -> DataFrame:
         "label", F.coalesce("label", "name"))
     least = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
     found = named.join(least, "label").select("name", "check", "component_id")
-    return base.select("doc_id", "n", "name", "check").join(found, ["name", "check"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
+    return base.select("doc_id", "text_key", "n", "name", "check").join(found, ["name", "check"], "left").select(
+        "doc_id", "text_key", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def group(docs: DataFrame) -> DataFrame:
+    """One row per row of `docs`: doc_id, n_shingles, component_id, kept."""
+    return _grouped(docs).drop("text_key")
+
+
+def first_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` that stand for their groups: one of each, and all without words."""
+    kept = _grouped(docs).where("kept").groupBy("doc_id", "text_key").agg(
+        F.count(F.lit(1)).alias("times"), F.max("n_shingles").alias("n"))
+    kept = cut(kept.select(*[F.col(name).alias(f"__{name}") for name in kept.columns]))
+    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.xxhash64("text") == F.col("__text_key")))
+    again = kept.where("__n > 0").groupBy("__doc_id").agg(F.sum("__times").alias("rows")).where("rows > 1")
+    if not again.isEmpty():
+        # Rows that share a doc_id: one of them stays.
+        rows = rows.where("__n = 0").unionByName(rows.where("__n > 0").dropDuplicates(["doc_id"]))
+    return rows.select(docs.columns)
+
+
 def minhash_neardup(spark, sf_dir: str) -> DataFrame:
     return group(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 

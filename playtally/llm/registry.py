@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from playtally.llm import chat, decontaminate, language, licenses, neardup, pieces, pii, quality, repeats, secrets
 
 
@@ -19,6 +20,7 @@ def queries() -> dict[str, Callable]:
         "op8_language_id": language.language_id,
         "op9_license_scan": licenses.license_scan,
         "op10_pii": pii.pii,
+        "pipeline": corpus_pipeline.run,
     }
 
 
