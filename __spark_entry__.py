@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playtally.functions import parsing
+from playtally.functions.durable import durable
 from playtally.operators import enrich, kpis, quality, serving
 from playtally.operators.merging import merge_latest
 from playtally.plans import bindings
@@ -36,6 +37,14 @@ def _lineitem(spark: SparkSession, d: str) -> DataFrame:
     return _enriched(spark, d, bindings.lineitem_streams(spark, d))
 
 
+def _with_genre(spark: SparkSession, d: str) -> DataFrame:
+    """Deduplicated plays with their genre and day only; who listened from where is not joined."""
+    joined = enrich.join_songs(enrich.dedup_events(bindings.lineitem_streams(spark, d)),
+                               bindings.songs(spark, d).select("track_id", "track_genre", "duration_ms"))
+    return joined.select("user_id", enrich.genre_or_unknown().alias("track_genre"), enrich.duration_or_zero().alias("duration_ms"),
+                         parsing.listen_date(F.col("listen_time")).alias("listen_date"))
+
+
 def _daily(spark: SparkSession, d: str, streams: DataFrame) -> DataFrame:
     return daily_kpis(streams, bindings.songs(spark, d), bindings.users(spark, d))
 
@@ -52,12 +61,18 @@ def _event_items(spark: SparkSession, d: str) -> DataFrame:
     return serving.kpi_items(_event_kpis(spark, d), LOADED)
 
 
+def _looked_up(spark: SparkSession, d: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Stored items of some days: lookups filter what was computed once, from a range of the events."""
+    kpi_rows = _daily(spark, d, bindings.event_streams(spark, d, first, last))
+    return serving.kpi_items(durable(kpi_rows, spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"), LOADED)
+
+
 def _top_items(spark: SparkSession, d: str, streams: DataFrame, now: datetime) -> DataFrame:
     return serving.top_genre_items(kpis.top_genres(kpis.listen_count(_enriched(spark, d, streams))), now)
 
 
-def _event_top_items(spark: SparkSession, d: str) -> DataFrame:
-    return _top_items(spark, d, bindings.event_streams(spark, d), LOADED)
+def _event_top_items(spark: SparkSession, d: str, day: str | None = None) -> DataFrame:
+    return _top_items(spark, d, bindings.event_streams(spark, d, day), LOADED)
 
 
 def _shown(df: DataFrame) -> DataFrame:
@@ -157,7 +172,7 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top3_songs_json": lambda s, d: kpis.top_songs_json(kpis.top_songs(kpis.song_plays(_lineitem(s, d)))),
         "genre_plays": lambda s, d: kpis.genre_plays(kpis.listen_count(_lineitem(s, d))),
         "top5_genres": lambda s, d: _shown(
-            kpis.top_genres(kpis.listen_count(_lineitem(s, d)))).orderBy("listen_date", "rank"),
+            kpis.top_genres(kpis.listen_count(_with_genre(s, d)))).orderBy("listen_date", "rank"),
         "distinct_dates": lambda s, d: kpis.distinct_dates(kpis.listen_count(_lineitem(s, d))),
         "distinct_genres": lambda s, d: kpis.listen_count(_lineitem(s, d)).select("track_genre").distinct(),
         "genre_kpis": _lineitem_kpis,
@@ -169,11 +184,12 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "expiry_filter": lambda s, d: _shown(serving.live(_merged_kpi_items(s, d), READ)),
         "upsert_kpis": lambda s, d: _shown(_merged_kpi_items(s, d)),
         "upsert_top_genres": _merged_top_items,
-        "lookup_point": lambda s, d: _shown(serving.point(_event_items(s, d), GENRE, DAY)),
-        "lookup_genre_trend": lambda s, d: _shown(serving.trend(_event_items(s, d), GENRE)),
-        "lookup_top5_by_index": lambda s, d: _shown(serving.top_on(_event_items(s, d), DAY)),
-        "lookup_snapshot": lambda s, d: serving.snapshot(_event_top_items(s, d), DAY),
-        "lookup_date_range": lambda s, d: _shown(serving.between(_event_items(s, d), GENRE, FIRST_DAY, LAST_DAY)),
+        "lookup_point": lambda s, d: _shown(serving.point(_looked_up(s, d, DAY), GENRE, DAY)),
+        "lookup_genre_trend": lambda s, d: _shown(serving.trend(_looked_up(s, d), GENRE)),
+        "lookup_top5_by_index": lambda s, d: _shown(serving.top_on(_looked_up(s, d, DAY), DAY)),
+        "lookup_snapshot": lambda s, d: serving.snapshot(_event_top_items(s, d, DAY), DAY),
+        "lookup_date_range": lambda s, d: _shown(serving.between(
+            _looked_up(s, d, FIRST_DAY, LAST_DAY), GENRE, FIRST_DAY, LAST_DAY)),
     }
 
 

@@ -11,6 +11,8 @@ def durable(df: DataFrame, fallback_dir: str) -> DataFrame:
     checkpoint files, so a lost executor costs a re-read and not a recomputation from the raw events.
     """
     context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or fallback_dir)
+    named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    # Without a named folder each caller's own counts, also after another deployment of the session set one.
+    if context.getCheckpointDir() is None or named is None:
+        context.setCheckpointDir(named or fallback_dir)
     return df.checkpoint(eager=True)

@@ -7,19 +7,30 @@ recomputed task draws the same one) and each reference row is repeated once per
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_LIMIT_BYTES = 64 << 20
 SALTS = 64
 
 
+# A row's entry in the hash table of a broadcast: a pointer and a key in a table at most half full, and its length.
+TABLE_ENTRY_BYTES = 40
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row in memory as a broadcast holds it: one bit per column for nulls, eight bytes per column
+    and the bytes of each text rounded up to eight, whether values are null or not; and its table entry."""
+    width = TABLE_ENTRY_BYTES + 8 * -(-len(df.columns) // 64) + 8 * len(df.columns)
+    texts = [F.coalesce(F.octet_length(F.col(f"`{name}`")) + F.lit(7), F.lit(0)) for name, kind in df.dtypes if kind == "string"]
+    return reduce(Column.__add__, texts, F.lit(width)).cast("bigint")
+
+
 def measured_bytes(*refs: DataFrame) -> list[int]:
-    """Upper estimate of the size of each frame in memory, from one pass over the actual values of all."""
+    """Upper estimate of the size of each frame in memory, from one pass over the lengths of the values of all."""
     sizes = []
     for place, ref in enumerate(refs):
-        text = F.octet_length(F.to_json(F.struct(*ref.columns)))
-        sizes.append(ref.agg(F.lit(place).alias("place"), F.coalesce(F.sum(text), F.lit(0)).alias("size")))
+        sizes.append(ref.agg(F.lit(place).alias("place"), F.coalesce(F.sum(row_bytes(ref)), F.lit(0)).alias("size")))
     measured = {row["place"]: row["size"] for row in reduce(DataFrame.unionByName, sizes).collect()}
     return [measured[place] for place in range(len(refs))]
 

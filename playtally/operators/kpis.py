@@ -1,7 +1,7 @@
 """Daily KPIs per genre.
 
-The single-KPI functions answer one question each. `genre_kpis` computes them together: one pass to the
-grain (user, genre, day), from which every number of a (genre, day) follows.
+One pass leads to the grain (user, genre, day), from which every number of a (genre, day) follows. The single-KPI
+functions are projections of these numbers.
 """
 
 from pyspark.sql import DataFrame, Window
@@ -12,25 +12,29 @@ from playtally import schemas
 GENRE_DAY = ("track_genre", "listen_date")
 
 
+def _metric(enriched: DataFrame, name: str) -> DataFrame:
+    return genre_metrics(user_grain(enriched)).select(*GENRE_DAY, name)
+
+
 def listen_count(enriched: DataFrame) -> DataFrame:
-    return enriched.groupBy(*GENRE_DAY).agg(F.count(F.lit(1)).alias("listen_count"))
+    return _metric(enriched, "listen_count")
 
 
 def unique_listeners(enriched: DataFrame) -> DataFrame:
-    return enriched.groupBy(*GENRE_DAY).agg(F.count_distinct("user_id").alias("unique_listeners"))
+    return _metric(enriched, "unique_listeners")
 
 
 def total_listen_time(enriched: DataFrame) -> DataFrame:
-    return enriched.groupBy(*GENRE_DAY).agg(F.sum("duration_ms").alias("total_listen_time_ms"))
+    return _metric(enriched, "total_listen_time_ms")
 
 
 def user_totals(enriched: DataFrame) -> DataFrame:
     """Listening time per user, genre and day; plays without a user form one group."""
-    return enriched.groupBy("user_id", *GENRE_DAY).agg(F.sum("duration_ms").alias("user_total_ms"))
+    return user_grain(enriched).select("user_id", *GENRE_DAY, F.col("listened_ms").alias("user_total_ms"))
 
 
 def avg_listen_time(enriched: DataFrame) -> DataFrame:
-    return user_totals(enriched).groupBy(*GENRE_DAY).agg(F.avg("user_total_ms").alias("avg_listen_time_ms"))
+    return _metric(enriched, "avg_listen_time_ms")
 
 
 def user_grain(enriched: DataFrame) -> DataFrame:
@@ -47,7 +51,8 @@ def genre_metrics(grain: DataFrame) -> DataFrame:
         F.sum("plays").alias("listen_count"),
         F.count("user_id").alias("unique_listeners"),
         F.sum("listened_ms").alias("total_listen_time_ms"),
-        F.round(F.avg("listened_ms"), 2).alias("avg_listen_time_ms"),
+        # A sum of whole numbers is exact in any order, an average of doubles is not.
+        F.round(F.try_divide(F.sum("listened_ms"), F.count("listened_ms")), 2).alias("avg_listen_time_ms"),
     )
 
 

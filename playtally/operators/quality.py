@@ -14,6 +14,7 @@ from playtally import schemas
 from playtally.functions import parsing
 from playtally.functions.clock import iso_text
 
+COUNTED_ONLY = ("off_format_time", "off_type_user_id")
 NULL_COUNTS = {name: f"null_{name}" for name in schemas.REQUIRED_COLUMNS}
 
 
@@ -33,6 +34,8 @@ def _metric_columns(weight: Column) -> list[Column]:
         F.coalesce(F.sum(weight), F.lit(0)).cast("bigint").alias("record_count"),
         *null_counts,
         _rows_where(~parsing.is_number(F.col("user_id")), weight).alias("invalid_user_id"),
+        _rows_where(parsing.is_number(F.col("user_id")) & parsing.parse_int(F.col("user_id")).isNull(), weight).alias(
+            "off_type_user_id"),
         _rows_where(~parsing.is_track_id(F.col("track_id")), weight).alias("invalid_track_id"),
         _rows_where(parsing.parse_any_datetime(time).isNull(), weight).alias("unparseable_time"),
         _rows_where(parsing.parse_listen_time(time).isNull(), weight).alias("off_format_time"),
@@ -175,12 +178,14 @@ def _judge(metrics: DataFrame, input_key: Column, now: datetime) -> DataFrame:
         "errors",
         F.lit(iso_text(now)).alias("validated_at"),
         "off_format_time",
+        "off_type_user_id",
     )
 
 
 def validation_verdict(raw: DataFrame, songs: DataFrame | None, users: DataFrame | None, now: datetime,
                        input_key: str) -> DataFrame:
-    """One row: the report columns, and `off_format_time`, the accepted rows that will belong to no day.
+    """One row: the report columns, and COUNTED_ONLY: accepted rows that will belong to no day, and numeric user
+    ids that are no int (1.5, 3000000000) and so become absent users.
 
     Missing columns end the checks. Duplicates and absent reference tables are reported, not failed.
     """
@@ -199,4 +204,4 @@ def file_verdicts(raw: DataFrame, songs: DataFrame | None, users: DataFrame | No
 def validation_report(raw: DataFrame, songs: DataFrame | None, users: DataFrame | None, now: datetime,
                       input_key: str) -> DataFrame:
     """One row: the verdict over the whole batch with its numbers and messages."""
-    return validation_verdict(raw, songs, users, now, input_key).drop("off_format_time")
+    return validation_verdict(raw, songs, users, now, input_key).drop(*COUNTED_ONLY)

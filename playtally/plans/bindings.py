@@ -60,9 +60,13 @@ def lineitem_streams(spark: SparkSession, sf_dir: str, time: str = "o_orderdate"
     )
 
 
-def event_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 30-day stream: one play per event."""
-    return table(spark, sf_dir, "events").select(
+def event_streams(spark: SparkSession, sf_dir: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """The 30-day stream: one play per event. Of some days only, `first` to `last`, it is read by a range of times."""
+    events = table(spark, sf_dir, "events")
+    if first is not None:
+        events = events.where((F.col("ts") >= F.lit(first).cast("timestamp_ntz")) &
+                              (F.col("ts") < F.date_add(F.lit(last or first).cast("date"), 1).cast("timestamp_ntz")))
+    return events.select(
         F.col("user_id").cast("int").alias("user_id"),
         _padded(F.get_json_object("props", "$.k")).alias("track_id"),
         F.col("ts").cast("timestamp").alias("listen_time"),

@@ -47,6 +47,14 @@ class Layout:
     def archived_sources(self) -> str:
         return f"{self.root}/archive"
 
+    @property
+    def dead_sources(self) -> str:
+        return f"{self.root}/dead-letter/sources"
+
+    @property
+    def ledger(self) -> str:
+        return f"{self.root}/ledger"
+
     @property
     def kpi_items(self) -> str:
         return f"{self.root}/serving/kpis"

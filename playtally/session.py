@@ -22,14 +22,16 @@ MAX_SCAN_TASKS = 100_000
 MAX_SHUFFLE_PARTITIONS = 40_000
 
 
-def sized_settings(input_bytes: int) -> dict[str, str]:
+def sized_settings(input_bytes: int, max_scan_tasks: int = MAX_SCAN_TASKS,
+                   max_shuffle_partitions: int = MAX_SHUFFLE_PARTITIONS) -> dict[str, str]:
     """Scan split size and shuffle partitions for an input size.
 
     Splits of 256 MB and shuffle partitions of 256 MB, until their number would make the shuffle's blocks
-    (tasks x partitions) too many; from there the sizes grow: at 100 TB to 1 GB and 2.5 GB, which spill.
+    (tasks x partitions) too many; from there the sizes grow: at 100 TB to 1 GB and 2.5 GB, which spill. A cluster
+    whose shuffle service bears more blocks, or that serves them merged, can raise both numbers.
     """
-    split = max(256 * MEGABYTE, -(-input_bytes // MAX_SCAN_TASKS))
-    partitions = min(MAX_SHUFFLE_PARTITIONS, max(200, -(-input_bytes // (256 * MEGABYTE))))
+    split = max(256 * MEGABYTE, -(-input_bytes // max_scan_tasks))
+    partitions = min(max_shuffle_partitions, max(200, -(-input_bytes // (256 * MEGABYTE))))
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(partitions),

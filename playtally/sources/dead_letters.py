@@ -7,16 +7,16 @@ from playtally import schemas
 from playtally.sources.tables import replace_partitions
 
 
-def write_dead_letter(spark: SparkSession, path: str, file_name: str, stage: str, errors: list[str],
-                      root: str) -> None:
-    """Keep every line of a failed file, with the stage that failed and why."""
-    lines = spark.read.text(path).select(
-        F.col("value").alias("line"),
-        F.array(*[F.lit(error) for error in errors]).alias("errors"),
-        F.lit(stage).alias("stage"),
-        F.lit(file_name).alias("file_name"),
-    )
-    replace_partitions(lines, root, "stage", "file_name")
+def write_dead_letters(lines: DataFrame, errors: dict[str, list[str]], stage: str, root: str) -> None:
+    """Keep every line of some failed files (columns `value` and `file_name`), with the stage that failed and why.
+
+    `errors` has the whole error texts by file. A file without a line gets one without text, so that it is seen.
+    """
+    spark = lines.sparkSession
+    why = spark.createDataFrame([*errors.items()], "file_name string, errors array<string>")
+    kept = why.join(lines, "file_name", "left").select(
+        F.col("value").alias("line"), "errors", F.lit(stage).alias("stage"), "file_name")
+    replace_partitions(kept, root, "stage", "file_name")
 
 
 def read_dead_letters(spark: SparkSession, root: str) -> DataFrame:

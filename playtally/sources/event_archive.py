@@ -1,4 +1,4 @@
-"""Typed events kept by date and source file, so that a date can be computed again from all its files."""
+"""Typed events kept by date, each with its source file, so that a date can be computed again from all its files."""
 
 from collections.abc import Iterable
 
@@ -8,29 +8,34 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from playtally import schemas
 from playtally.functions import parsing
-from playtally.sources.tables import on_dates, read_table, replace_partitions
+from playtally.functions.durable import durable
+from playtally.sources.tables import read_dates, write_by_date
 
 _ARCHIVED = StructType([
     *schemas.EVENTS.fields,
-    StructField("listen_date", StringType()),
     StructField("file_name", StringType()),
+    StructField("listen_date", StringType()),
 ])
 
 
-def archive_events(events: DataFrame, file_name: Column, root: str) -> None:
-    """Store the events of one or more files under their dates; a repeat replaces them. Large dates are
-    split."""
-    dated = events.withColumns({"listen_date": parsing.listen_date(F.col("listen_time")), "file_name": file_name})
-    archived = dated.select(*_ARCHIVED.fieldNames()).hint("rebalance", F.col("listen_date"))
-    replace_partitions(archived, root, "listen_date", "file_name")
-
-
-def archived_dates(spark: SparkSession, root: str, *file_names: str) -> list[str]:
-    """The dates some files have events on; reads only partition names."""
-    of_files = read_table(spark, root, _ARCHIVED).where(F.col("file_name").isin(*file_names))
-    return of_files.agg(F.array_sort(F.collect_set("listen_date")).alias("dates")).first()["dates"]
-
-
-def read_events(spark: SparkSession, root: str, dates: Iterable[str] | None = None) -> DataFrame:
-    """The archived events of some dates, or of all."""
-    return on_dates(read_table(spark, root, _ARCHIVED), dates).select(*schemas.EVENTS.fieldNames())
+def archive_events(events: DataFrame, file_name: Column, files: Iterable[str], earlier: Iterable[str], root: str,
+                   checkpoints: str) -> tuple[dict[str, list[str]], list[str]]:
+    """Store the events of `files` under their dates in place of what these files held before, there or on the
+    `earlier` dates; returns the dates of each file, and those that are left without events. A repeat changes nothing."""
+    spark = events.sparkSession
+    dated = events.withColumns({"file_name": file_name, "listen_date": parsing.listen_date(F.col("listen_time"))})
+    new = durable(dated.select(*_ARCHIVED.fieldNames()), checkpoints)
+    found = new.groupBy("file_name").agg(F.array_sort(F.collect_set("listen_date")).alias("dates")).collect()
+    dates = {row["file_name"]: row["dates"] for row in found}
+    touched = sorted({date for held in dates.values() for date in held} | set(earlier))
+    stored = read_dates(spark, root, _ARCHIVED, touched)
+    others = durable(stored.where(~F.col("file_name").isin([*files])), checkpoints)
+    # Written from durable copies, as the write replaces what it reads.
+    write_by_date(others.unionByName(new), root)
+    left = {row[0] for row in others.select("listen_date").distinct().collect()} | {d for held in dates.values() for d in held}
+    return dates, sorted(set(touched) - left)
+
+
+def read_events(spark: SparkSession, root: str, dates: Iterable[str]) -> DataFrame:
+    """The archived events of some dates; only their folders are listed."""
+    return read_dates(spark, root, _ARCHIVED, dates).select(*schemas.EVENTS.fieldNames())

@@ -1,5 +1,7 @@
 """CSV inputs. Columns are found by header name and read as text, so nothing depends on inference."""
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,16 +14,22 @@ def read_raw_events(spark: SparkSession, path: str) -> DataFrame:
     return raw.select([parsing.null_if_token(F.col(f"`{name}`")).alias(name) for name in raw.columns])
 
 
-def read_raw_files(spark: SparkSession, paths: list[str], file: str) -> DataFrame:
-    """Several event files with one and the same header, each row with its file name in column `file`.
+def header_of(line: str | None) -> list[str]:
+    """The column names in a header line."""
+    return next(csv.reader([line.lstrip("\ufeff")]), []) if line else []
+
 
-    A file with another header makes the job fail instead of being read by position.
-    """
-    raw = spark.read.csv(paths, header=True, escape='"', enforceSchema=False)
-    cells = [parsing.null_if_token(F.col(f"`{name}`")).alias(name) for name in raw.columns]
+def read_raw_files(spark: SparkSession, paths: list[str], header: list[str], file: str, extra: str) -> DataFrame:
+    """Several event files with one and the same header: every column as text, the file's path in column `file`,
+    and in `extra` whether the row has more cells than the header. Missing cells are null; files stay splittable."""
+    names = [f"_{i}" for i in range(len(header))]
+    schema = ", ".join(f"{name} string" for name in [*names, "_more"])
+    # Empty cells stay texts while they are read, so that an empty cell too many differs from none.
+    raw = spark.read.schema(schema).csv(paths, header=True, escape='"', nullValue="\0", emptyValue="")
+    cells = [parsing.null_if_token(F.col(name)).alias(title) for name, title in zip(names, header)]
     # The reader hands out names as in a URL, where a plain plus would mean a blank.
-    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
-    return raw.select(*cells, name.alias(file))
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return raw.select(*cells, path.alias(file), F.col("_more").isNotNull().alias(extra))
 
 
 def type_events(raw: DataFrame, *others: str) -> DataFrame:

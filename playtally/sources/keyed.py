@@ -10,6 +10,7 @@ from playtally.functions.clock import epoch_seconds
 from playtally.functions.durable import durable
 from playtally.operators.merging import merge_latest
 from playtally.operators.serving import live
+from playtally.sources.files import delete
 from playtally.sources.tables import read_table, write_by_date
 
 
@@ -41,8 +42,15 @@ def upsert(new: DataFrame, root: str, schema: StructType, keys: tuple[str, ...],
 
 def compact(spark: SparkSession, root: str, schema: StructType, keys: tuple[str, ...], now: datetime,
             checkpoints: str, date: str = "date") -> None:
-    """Rewrite the dates that hold both expired and live rows. Reads skip expired rows in any case."""
+    """Rewrite the dates that hold both expired and live rows, and remove those that hold expired ones only.
+
+    Reads skip expired rows in any case. A run that breaks off can be repeated.
+    """
     stored = read_table(spark, root, schema)
     stale = stored.where(F.col("ttl_expiry") <= F.lit(epoch_seconds(now))).select(date).distinct()
     kept = durable(live(stored, now).join(stale, date, "left_semi"), checkpoints)
     write_by_date(kept, root, date=date, order=keys)
+    # Dates are a calendar's worth of names, whatever the rows.
+    gone = stored.groupBy(date).agg(F.max("ttl_expiry").alias("last")).where(F.col("last") <= F.lit(epoch_seconds(now)))
+    for row in gone.select(date).collect():
+        delete(stored.sparkSession, f"{root}/{date}={row[0]}")

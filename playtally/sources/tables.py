@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from playtally import schemas
 from playtally.functions import parsing
+from playtally.sources.files import exists
 
 
 def replace_partitions(df: DataFrame, root: str, *partitions: str, fmt: str = "parquet") -> None:
@@ -54,6 +55,15 @@ def on_dates(df: DataFrame, dates: Iterable[str] | None, date: str = "listen_dat
     return shaped if dates is None else shaped.where(F.col(date).isin(*dates))
 
 
+def read_dates(spark: SparkSession, root: str, schema: StructType, dates: Iterable[str],
+               date: str = "listen_date") -> DataFrame:
+    """The rows of some dates of the table at `root`; no other date's folder is listed."""
+    paths = [path for path in (f"{root}/{date}={one}" for one in dates) if exists(spark, path)]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", root).parquet(*paths)
+
+
 def read_kpis(spark: SparkSession, root: str, dates: Iterable[str] | None = None,
               fmt: str = "parquet") -> DataFrame:
     return on_dates(read_table(spark, root, schemas.GENRE_KPIS, fmt), dates)

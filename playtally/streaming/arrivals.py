@@ -1,10 +1,11 @@
 """Files that arrive in a folder: validate, compute, store.
 
-The stream only detects arrivals (its checkpoint makes sure no file is taken twice) and archives sources
-that a later batch has confirmed. Each file is then read as a batch by its header, so column order and
-extra columns do not matter, and a large file is split over the cluster. Where files add up, those of
-one batch that share a header go through together, still with a verdict on each. A batch may be repeated after a
-crash: every write replaces what it wrote before.
+A run lists the folder and takes every file version (path, time, length) that the ledger does not name: of any age,
+in nested folders, empty ones, and a new file under a used name too. The files of a batch go through together, a job per
+stage and header, with a verdict and a load report on each, and one load over the dates that they touch. Then the
+ledger records what came of them, and only what it names leaves the folder: to the archive after success, else to
+the dead letter. A run that breaks off before the ledger is written is repeated as a whole; every write replaces what
+it wrote before. Only verdicts on data send a file to dead letter; errors of storage or cluster end the run.
 """
 
 import logging
@@ -12,39 +13,40 @@ import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
+from uuid import uuid4
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from playtally import schemas
-from playtally.functions.clock import system_clock
-from playtally.functions.counts import StageCounts
-from playtally.functions.parsing import base_name
-from playtally.operators.quality import file_verdicts, missing_columns, validation_verdict
+from playtally.functions.clock import iso_text, system_clock
+from playtally.operators.quality import file_verdicts
 from playtally.plans.daily import daily_kpis
 from playtally.plans.load import Layout, archive_kpis, load_serving, recompute_dates
-from playtally.sources import dead_letters, event_archive, inputs, reports
+from playtally.sources import dead_letters, event_archive, files, inputs, ledger, reports
+from playtally.sources.files import Source
 
 log = logging.getLogger(__name__)
 
-_FILE = "_file"
-_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+_FILE, _EXTRA = "_file", "_extra_cells"
+VALIDATION, TRANSFORM = "validation", "transform"
+EXTRA_CELLS_TEXT = "{} row(s) have more cells than the header"
 
 
 @dataclass(frozen=True)
 class Settings:
-    """What a run needs to know. `accumulate` makes files that share a date add up instead of the last
-    one replacing it; `reload_all` loads every archived date after each file, renewing its expiry;
-    `multi_line_references` allows line breaks in song and user texts, at the price of one task per file."""
+    """What a run needs to know. With `accumulate` files that share a date add up, and a new version of a file replaces
+    its old one; without, files go one by one and the last one's KPIs replace those of its genres and dates.
+    `multi_line_references` allows line breaks in song and user texts, at the price of one task per reference file."""
 
     songs_path: str
     users_path: str
     layout: Layout
     clock: Callable[[], datetime] = system_clock
     ttl_days: int = schemas.TTL_DAYS
-    accumulate: bool = False
-    reload_all: bool = True
+    accumulate: bool = True
     json_export: bool = False
     multi_line_references: bool = True
 
@@ -55,140 +57,171 @@ def _literal(path: str) -> str:
 
 
 def _reference_keys(spark: SparkSession, settings: Settings) -> tuple[DataFrame | None, DataFrame | None]:
-    """Track and user keys for validation, or nothing when the reference cannot be read."""
+    """Track and user keys for validation, or nothing when the reference cannot be found."""
     try:
         return (
             inputs.read_reference_keys(spark, settings.songs_path, "track_id", settings.multi_line_references),
             inputs.read_reference_keys(spark, settings.users_path, "user_id", settings.multi_line_references),
         )
-    except Exception as error:  # any unreadable reference only lowers what can be checked
+    except AnalysisException as error:
         log.warning("no integrity check, reference data is unreadable: %s", error)
         return None, None
 
 
-def _validate(spark: SparkSession, raw: DataFrame, file_name: str, settings: Settings) -> Row:
-    """The verdict on the file; its report is written either way."""
-    songs, users = _reference_keys(spark, settings)
-    verdict = validation_verdict(raw, songs, users, settings.clock(), file_name).first()
-    reports.write_validation_report(spark, verdict, settings.layout.root, file_name)
-    if "duplicate_rows" in verdict and verdict["duplicate_rows"]:
-        log.warning("%s: %d duplicate rows, removed before the KPIs", file_name, verdict["duplicate_rows"])
-    return verdict
+def _by_header(spark: SparkSession, source: str, batch: list[Source]) -> dict[tuple, list[str]]:
+    groups: dict[tuple, list[str]] = {}
+    for file in batch:
+        header = inputs.header_of(files.first_line(spark, f"{source}/{file.path}"))
+        groups.setdefault(tuple(header), []).append(file.path)
+    return groups
+
+
+def _read(spark: SparkSession, source: str, header: tuple, paths: list[str]) -> DataFrame:
+    """The rows of files that share a header, each with its file's path below the source in _FILE."""
+    raw = inputs.read_raw_files(spark, [_literal(f"{source}/{path}") for path in paths], [*header], _FILE, _EXTRA)
+    return raw.withColumn(_FILE, F.substring_index(F.col(_FILE), files.folder_prefix(spark, source), -1))
 
 
-def _transform(spark: SparkSession, raw: DataFrame, off_format: int, file_name: str,
-               settings: Settings) -> list[str]:
-    """Archive the KPIs of the file; returns the dates it touched."""
+def _verdicts(spark: SparkSession, raw: DataFrame | None, header: tuple, paths: list[str], settings: Settings) -> list[dict]:
+    """The verdict on each file of a group, in one job; a file without rows gets one of zero counts."""
+    now = settings.clock()
+    missing = sorted(set(schemas.REQUIRED_COLUMNS) - set(header))
+    if missing:
+        counts = {} if raw is None else {row[_FILE]: row["count"] for row in raw.groupBy(_FILE).count().collect()}
+        return [{"status": schemas.FAILED, "input_key": path, "record_count": counts.get(path, 0),
+                 "errors": [schemas.MISSING_COLUMNS_TEXT.format(missing)], "validated_at": iso_text(now)} for path in paths]
+    songs, users = _reference_keys(spark, settings)
+    judged = file_verdicts(raw.drop(_EXTRA), songs, users, now, _FILE)
+    extra = raw.groupBy(_FILE).agg(F.count_if(_EXTRA).alias("extra")).withColumnRenamed(_FILE, "input_key")
+    found = {row["input_key"]: row.asDict() for row in judged.join(extra, "input_key").collect()}
+    share = None if songs is None else 0.0
+    verdicts = []
+    for path in paths:
+        verdict = found.get(path) or {
+            "status": schemas.PASSED, "input_key": path, "record_count": 0, "null_counts": dict.fromkeys(schemas.REQUIRED_COLUMNS, 0),
+            "unknown_user_pct": share, "unknown_track_pct": share, "duplicate_rows": 0, "errors": [],
+            "validated_at": iso_text(now), "off_format_time": 0, "off_type_user_id": 0, "extra": 0}
+        if verdict["extra"]:
+            verdict |= {"status": schemas.FAILED, "errors": [EXTRA_CELLS_TEXT.format(verdict["extra"]), *verdict["errors"]]}
+        for name in ("duplicate_rows", "off_type_user_id"):
+            if verdict[name]:
+                log.warning("%s: %d %s", path, verdict[name], name)
+        verdicts.append(verdict)
+    return verdicts
+
+
+def _to_dead_letter(spark: SparkSession, source: str, failed: dict[str, list[str]], stage: str, layout: Layout) -> None:
+    if failed:
+        paths = [_literal(f"{source}/{path}") for path in failed]
+        path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        lines = spark.read.text(paths).select("value", F.substring_index(path, files.folder_prefix(spark, source), -1).alias("file_name"))
+        dead_letters.write_dead_letters(lines, failed, stage, layout.dead_letters)
+
+
+def _store(spark: SparkSession, accepted: list[tuple[DataFrame, list[str]]], off_format: bool,
+           settings: Settings) -> tuple[dict[str, list[str]], list[str]]:
+    """Archive the plays of accepted files and the KPIs of the dates they touch; the dates by file, and all dates."""
     layout = settings.layout
     songs = inputs.read_songs(spark, settings.songs_path, settings.multi_line_references)
     users = inputs.read_users(spark, settings.users_path, settings.multi_line_references)
-    events, rejects = inputs.split_events(raw)
+    raw = None
+    for rows, paths in accepted:
+        part = rows.where(F.col(_FILE).isin(paths)).select(*schemas.REQUIRED_COLUMNS, _FILE)
+        raw = part if raw is None else raw.unionByName(part)
+    names = [path for _, paths in accepted for path in paths]
+    usable, rejects = inputs.usable_rows(raw)
     if off_format:
-        dead_letters.write_rejects(rejects, F.lit(file_name), layout.rejects)
+        dead_letters.write_rejects(rejects, F.col(_FILE), layout.rejects)
+    events = inputs.type_events(usable, _FILE)
     if not settings.accumulate:
-        counts = StageCounts()
-        dates = archive_kpis(daily_kpis(events, songs, users, counts), layout, settings.json_export)
-        log.info("%s: %s", file_name, counts.all())
-        return dates
-    event_archive.archive_events(events, F.lit(file_name), layout.events)
-    return recompute_dates(spark, layout, songs, users, event_archive.archived_dates(spark, layout.events, file_name),
-                           settings.json_export)
-
-
-def _load(spark: SparkSession, dates: list[str], file_name: str, settings: Settings) -> None:
-    report = load_serving(spark, settings.layout, settings.clock(), settings.ttl_days,
-                          None if settings.reload_all else dates)
-    reports.write_load_report(report, settings.layout.root, file_name)
-
-
-def process_file(spark: SparkSession, path: str, file_name: str, settings: Settings) -> str:
-    """Take one file through all stages; returns "done", or the stage at which it went to dead letter.
-
-    A failed check is a result, not an exception, and is never retried. Spark retries lost tasks itself;
-    a stage that still fails sends the file to dead letter, and the next file goes on.
-    """
-    stage = "validation"
+        dates = archive_kpis(daily_kpis(events.drop(_FILE), songs, users), layout, settings.json_export)
+        return dict.fromkeys(names, dates), dates
+    earlier = ledger.earlier_dates(spark, layout.ledger, names)
+    by_file, emptied = event_archive.archive_events(
+        events, F.col(_FILE), names, earlier, layout.events, layout.checkpoints)
+    for date in emptied:
+        for root, column in ((layout.events, "listen_date"), (layout.archive("genre_kpis"), "listen_date"),
+                             (layout.archive("top_genres"), "listen_date"), (layout.kpi_items, "date"), (layout.top_genre_items, "date")):
+            files.delete(spark, f"{root}/{column}={date}")
+    touched = sorted(({d for held in by_file.values() for d in held} | set(earlier)) - set(emptied))
+    return by_file, recompute_dates(spark, layout, songs, users, touched, settings.json_export) if touched else []
+
+
+def process_batch(spark: SparkSession, source: str, batch: list[Source], settings: Settings) -> dict[str, str]:
+    """Take some files through all stages; what came of each by path: "done", or the stage that it failed."""
+    layout, staging = settings.layout, f"{settings.layout.checkpoints}/reports-{uuid4().hex}"
+    verdicts, accepted, off_format = [], [], False
+    for header, paths in _by_header(spark, source, batch).items():
+        raw = _read(spark, source, header, paths) if header else None
+        judged = _verdicts(spark, raw, header, paths, settings)
+        verdicts += judged
+        passed = [verdict["input_key"] for verdict in judged if verdict["status"] == schemas.PASSED]
+        off_format |= any(verdict.get("off_format_time") for verdict in judged if verdict["input_key"] in passed)
+        if passed:
+            accepted.append((raw, passed))
+    reports.write_validation_reports(spark, verdicts, layout.root, staging)
+    failed = {verdict["input_key"]: verdict["errors"] for verdict in verdicts if verdict["status"] == schemas.FAILED}
+    _to_dead_letter(spark, source, failed, VALIDATION, layout)
+    names = [path for _, paths in accepted for path in paths]
+    outcome = dict.fromkeys(failed, VALIDATION) | dict.fromkeys(names, ledger.DONE)
+    by_file: dict[str, list[str]] = {}
     try:
-        raw = inputs.read_raw_events(spark, path)
-        verdict = _validate(spark, raw, file_name, settings)
-        errors = verdict["errors"]
-        if verdict["status"] == schemas.PASSED:
-            stage = "transform"
-            dates = _transform(spark, raw, verdict["off_format_time"], file_name, settings)
-            stage = "ingest"
-            if dates:
-                _load(spark, dates, file_name, settings)
-            return "done"
-    except Exception as error:
-        log.exception("%s failed in stage %s", file_name, stage)
-        message = str(error).strip().partition("\n")[0]  # without the stack trace of the executors
-        errors = [f"{type(error).__name__}: {message}"]
-    dead_letters.write_dead_letter(spark, path, file_name, stage, errors, settings.layout.dead_letters)
-    return stage
-
-
-def process_together(spark: SparkSession, files: dict[str, str], settings: Settings) -> None:
-    """Take several files (name to path) through all stages in one job per stage instead of one per file.
-
-    Only where files add up (`accumulate`) is the outcome the same as one by one. Raises when the files
-    do not share a header or a stage fails; nothing is lost then, as one by one repeats every write.
-    """
-    layout, now = settings.layout, settings.clock()
-    raw = inputs.read_raw_files(spark, list(files.values()), _FILE)
-    if missing_columns(raw):
-        raise ValueError("required columns are missing")
-    # One row per file of this batch.
-    verdicts = file_verdicts(raw, *_reference_keys(spark, settings), now, _FILE).collect()
-    for verdict in verdicts:
-        name = verdict["input_key"]
-        reports.write_validation_report(spark, verdict, layout.root, name)
-        if verdict["status"] == schemas.FAILED:
-            dead_letters.write_dead_letter(spark, files[name], name, "validation", verdict["errors"],
-                                           layout.dead_letters)
-    passed = [verdict["input_key"] for verdict in verdicts if verdict["status"] == schemas.PASSED]
-    if not passed:
-        return
-    accepted = raw.where(F.col(_FILE).isin(*passed))
-    usable, rejects = inputs.usable_rows(accepted)
-    if any(verdict["off_format_time"] for verdict in verdicts if verdict["input_key"] in passed):
-        dead_letters.write_rejects(rejects, F.col(_FILE), layout.rejects)
-    event_archive.archive_events(inputs.type_events(usable, _FILE), F.col(_FILE), layout.events)
-    dates = recompute_dates(
-        spark, layout, inputs.read_songs(spark, settings.songs_path, settings.multi_line_references),
-        inputs.read_users(spark, settings.users_path, settings.multi_line_references),
-        event_archive.archived_dates(spark, layout.events, *passed), settings.json_export)
+        by_file, dates = _store(spark, accepted, off_format, settings) if accepted else ({}, [])
+    except AnalysisException as error:
+        # The reference is missing or lacks columns: these files cannot be computed. Anything else ends the run.
+        log.exception("a batch failed in stage %s", TRANSFORM)
+        _to_dead_letter(spark, source, {name: [f"{type(error).__name__}: {error}"] for name in names}, TRANSFORM, layout)
+        outcome |= dict.fromkeys(names, TRANSFORM)
+        dates = []
     if dates:
-        # One load for all of them, reported under the name of the last.
-        _load(spark, dates, [name for name in files if name in passed][-1], settings)
-
-
-def run_arrivals(spark: SparkSession, source: str, settings: Settings, checkpoint: str,
-                 files_per_trigger: int = 1, once: bool = True) -> StreamingQuery:
-    """Start handling the CSV files in `source`: those present (`once`), or also all that arrive later."""
-    files = (
-        spark.readStream.format("binaryFile").schema(_FILE_SCHEMA)
-        .option("pathGlobFilter", "*.csv")
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .option("cleanSource", "archive")
-        .option("sourceArchiveDir", settings.layout.archived_sources)
-        .load(source)
-        # Only names and times are selected, so the stream itself never loads a file.
-        .select("path", "modificationTime", base_name(F.col("path")).alias("file_name"))
-    )
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        # At most `files_per_trigger` names; in arrival order, so that the last write wins.
-        arrived = {file["file_name"]: _literal(file["path"])
-                   for file in batch.orderBy("modificationTime", "path").collect()}
-        if settings.accumulate and len(arrived) > 1:
-            try:
-                return process_together(batch.sparkSession, arrived, settings)
-            except Exception as error:
-                log.warning("batch %d goes one by one: %s", batch_id, str(error).partition("\n")[0])
-        for file_name, path in arrived.items():
-            outcome = process_file(batch.sparkSession, path, file_name, settings)
-            log.info("batch %d: %s %s", batch_id, file_name, outcome)
-
-    writer = files.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="10 seconds")
-    return writer.start()
+        report = load_serving(spark, layout, settings.clock(), settings.ttl_days, dates)
+        reports.write_load_reports(spark, report, layout.root, names, staging)
+    files.delete(spark, staging)
+    ledger.append(spark, layout.ledger, [(file, outcome[file.path], by_file.get(file.path, [])) for file in batch])
+    return outcome
+
+
+def _put_away(spark: SparkSession, source: str, taken: dict[Source, str], layout: Layout) -> None:
+    """Move what the ledger names out of the source, by outcome. A file that has changed since stays."""
+    for file, outcome in taken.items():
+        if files.is_unchanged(spark, source, file):
+            area = layout.archived_sources if outcome == ledger.DONE else layout.dead_sources
+            target = f"{area}/{file.path}"
+            if files.exists(spark, target):
+                target += f".{file.modified}"
+            files.move(spark, f"{source}/{file.path}", target)
+
+
+def run_arrivals(spark: SparkSession, source: str, settings: Settings, files_per_batch: int = 1000) -> dict[str, str]:
+    """Handle every file version in `source` that the ledger does not name; what came of each by path."""
+    layout = settings.layout
+    listed = files.list_sources(spark, source)
+    taken = ledger.outcomes(spark, layout.ledger, listed)
+    _put_away(spark, source, taken, layout)
+    waiting = [file for file in listed if file not in taken]
+    size = files_per_batch if settings.accumulate else 1
+    outcome: dict[str, str] = {}
+    for first in range(0, len(waiting), size):
+        batch = waiting[first:first + size]
+        found = process_batch(spark, source, batch, settings)
+        log.info("%d files: %s", len(batch), found)
+        _put_away(spark, source, {file: found[file.path] for file in batch}, layout)
+        outcome |= found
+    return outcome
+
+
+def reload_all(spark: SparkSession, settings: Settings) -> DataFrame:
+    """Load every archived date again, which renews its expiry: a call of its own, on a schedule of its own."""
+    return load_serving(spark, settings.layout, settings.clock(), settings.ttl_days)
+
+
+def watch_arrivals(spark: SparkSession, source: str, settings: Settings, checkpoint: str, seconds: int = 10,
+                   files_per_batch: int = 1000) -> StreamingQuery:
+    """`run_arrivals` again and again, paced by a stream of ticks."""
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+
+    def handle(_: DataFrame, __: int) -> None:
+        run_arrivals(spark, source, settings, files_per_batch)
+
+    return (ticks.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+            .trigger(processingTime=f"{seconds} seconds").start())

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from playtally import schemas
 from playtally.functions.counts import StageCounts
@@ -169,6 +170,49 @@ def test_salt_spreads_a_hot_key(spark):
     assert "xxhash64" in plan and "rand(" not in plan  # a recomputed task must draw the same salt
 
 
+def test_plays_of_one_track_without_a_user_on_one_day_spread(spark, monkeypatch):
+    from playtally.operators import joins
+
+    monkeypatch.setattr(joins, "fits_broadcast", lambda size: False)
+    plays = events(spark, [(None, "hot", DAY + timedelta(milliseconds=n)) for n in range(20_000)])
+    dated = plays.select("user_id", "track_id", F.to_date("listen_time").alias("listen_date"), "listen_time")
+    salts = dated.select(F.pmod(F.xxhash64("user_id", "listen_date", "listen_time"), F.lit(64)).alias("s")).groupBy("s").count()
+    assert salts.count() == 64 and salts.agg(F.max("count")).first()[0] < 2 * 20_000 / 64
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = left_join_reference(dated, songs(spark, [("hot", "a", "pop", 1)]), "track_id")
+        per_task = joined.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(per_task) >= 6 and max(row["count"] for row in per_task) < 8000
+
+
+def test_measured_bytes_cover_rows_of_nulls(spark):
+    sparse = spark.createDataFrame([(None, None, None)] * 1000, "a string, b bigint, c string")
+    assert measured_bytes(sparse) == [1000 * (40 + 8 + 24)]
+    texts = spark.createDataFrame([("x" * 100, 1, "é" * 50)] * 10, "a string, b bigint, c string")
+    assert measured_bytes(texts, sparse.limit(0)) == [10 * (40 + 8 + 24 + 107 + 107), 0]
+
+
+def test_average_is_exact_beyond_doubles(spark):
+    grain = spark.createDataFrame([(n, "pop", "2024-06-25", 1, 2**53 + 1) for n in range(3)],
+                                  "user_id int, track_genre string, listen_date string, plays bigint, listened_ms bigint")
+    assert kpis.genre_metrics(grain).first().avg_listen_time_ms == (3 * (2**53 + 1)) / 3
+
+
+def test_lookup_reads_a_range_of_times_and_shares_the_shuffle(spark):
+    from playtally.plans import bindings
+    from tests.conftest import TESTDATA
+
+    scale = str(TESTDATA / "sf0.001")
+    day = bindings.event_streams(spark, scale, "2024-01-15")
+    plan = daily_kpis(day, bindings.songs(spark, scale), bindings.users(spark, scale))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(ts,2024-01-15", text) and "LessThan(ts,2024-01-16" in text
+    plan.collect()
+    assert "ReusedExchange" in plan._jdf.queryExecution().executedPlan().toString()
+
+
 def test_merge_keeps_the_latest_of_each_key(spark):
     schema = "genre string, date string, n int, processed_at string"
     old = spark.createDataFrame([("a", "d", 1, "2024-01-01"), ("b", "d", 2, "2024-01-01"), ("c", "d", 3, "2024-01-09")],

@@ -67,6 +67,12 @@ def test_events_are_deduplicated_after_casting(spark):
     assert dedup_events(typed).count() == 1
 
 
+def test_numeric_ids_that_are_no_int_are_counted(spark):
+    rows = raw(spark, [("1.5", "track00000", TIME), ("3000000000", "track00000", TIME), ("7", "track00000", TIME), ("x", "track00000", TIME)])
+    counted = quality.quality_metrics(rows).first()
+    assert (counted.off_type_user_id, counted.invalid_user_id) == (2, 1)
+
+
 def test_rows_without_a_day_are_split_off(spark):
     events, rejects = inputs.split_events(raw(spark, [("1", "t", TIME), ("1", "t", "2024-06-25"), ("1", "t", None)]))
     assert events.count() == 1 and rejects.count() == 2

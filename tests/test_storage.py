@@ -1,26 +1,16 @@
-"""Dated archives, keyed tables, reports, and the file-arrival stream, on temporary folders."""
+"""Dated archives, keyed tables and reports, on temporary folders."""
 
-import json
-import os
 from datetime import datetime, timedelta, timezone
 
 import pytest
-from pyspark.errors import StreamingQueryException
-
 from playtally import schemas
 from playtally.operators import kpis as k
 from playtally.operators import serving
 from playtally.plans.load import (Layout, NoDatesError, archive_kpis, load_serving, stored_kpi_items,
                                   stored_top_genre_items)
-from playtally.sources import dead_letters, inputs, keyed, tables
-from playtally.streaming import arrivals
-from playtally.streaming.arrivals import Settings, process_file, run_arrivals
+from playtally.sources import inputs, keyed, tables
 
 NOW = datetime(2024, 6, 26, 12, tzinfo=timezone.utc)
-SONGS = 'track_id,track_name,track_genre,duration_ms,artists,album_name,tempo\n' + "".join(
-    f'track00000{i},"Song ""{i}"", live",{genre},100,a,b,1.5\n' for i, genre in enumerate(["pop", "rock", "jazz"]))
-USERS = "user_id,user_name,user_country\n1,x,DE\n2,y,FR\n"
-
 
 def kpi_row(genre, date, plays=1):
     return (genre, date, plays, 1, 100, 100.0, "[]")
@@ -35,27 +25,6 @@ def layout(tmp_path):
     return Layout(str(tmp_path))
 
 
-@pytest.fixture
-def deployment(tmp_path):
-    (tmp_path / "in").mkdir()
-    (tmp_path / "songs.csv").write_text(SONGS)
-    (tmp_path / "users.csv").write_text(USERS)
-    layout = Layout(str(tmp_path / "out"))
-    return tmp_path, layout, Settings(str(tmp_path / "songs.csv"), str(tmp_path / "users.csv"), layout,
-                                      clock=lambda: NOW)
-
-
-def run(spark, deployment, settings=None, **options):
-    folder, _, default = deployment
-    query = run_arrivals(spark, str(folder / "in"), settings or default, str(folder / "checkpoint"), **options)
-    assert query.awaitTermination(240), "the stream did not end"
-    return [p for p in query.recentProgress if p.numInputRows]
-
-
-def events(*lines, header="user_id,track_id,listen_time"):
-    return "\n".join([header, *lines]) + "\n"
-
-
 def test_archive_splits_dates_and_keeps_others(spark, layout):
     first = spark.createDataFrame([kpi_row("a", "2024-06-25"), kpi_row("b", "2024-06-26")], schemas.GENRE_KPIS)
     assert archive_kpis(first, layout, json_export=True) == ["2024-06-25", "2024-06-26"]
@@ -154,6 +123,14 @@ def test_second_load_replaces_by_key_and_keeps_the_rest(spark, layout):
             ("a", "2024-06-20", 7), ("a", "2024-06-25", 9), ("b", "2024-06-25", 2)]
 
 
+def test_compaction_removes_dates_without_live_rows(spark, layout):
+    put(spark, layout, NOW, kpi_row("old", "2024-06-24"))
+    put(spark, layout, NOW + timedelta(days=1), kpi_row("new", "2024-06-25"))
+    keyed.compact(spark, layout.kpi_items, schemas.KPI_ITEMS, schemas.KPI_KEY, NOW + timedelta(days=90), layout.checkpoints)
+    assert not tables.read_table(spark, layout.kpi_items, schemas.KPI_ITEMS).where("date = '2024-06-24'").count()
+    assert len(tables.read_table(spark, layout.kpi_items, schemas.KPI_ITEMS).inputFiles()) == 1
+
+
 def test_expired_items_are_neither_read_nor_kept(spark, layout):
     put(spark, layout, NOW, kpi_row("old", "2024-06-25"))
     later = NOW + timedelta(days=90)
@@ -171,160 +148,6 @@ def test_compaction_drops_expired_rows(spark, layout):
     assert rows(tables.read_table(spark, layout.kpi_items, schemas.KPI_ITEMS).select("genre")) == [("new",)]
 
 
-def test_arrivals_validate_compute_and_store(spark, deployment):
-    folder, layout, _ = deployment
-    (folder / "in" / ".keep").write_text("")
-    (folder / "in" / "one.csv").write_text(events(
-        "1,track000000,2024-06-25 10:00:00", "2,track000000,2024-06-25 10:00:00", "1,track000000,2024-06-25 10:00:00",
-        "1,track000001,2024-06-26 10:00:00"))
-    os.utime(folder / "in" / "one.csv", (1, 1))  # arrived first
-    (folder / "in" / "two [x] 100%.csv").write_text(events(
-        "2024-06-27 09:00:00,track000002,2,x", header="listen_time,track_id,user_id,extra"))
-    assert len(run(spark, deployment)) == 2
-    items = stored_kpi_items(spark, layout, NOW)
-    assert rows(items.select("genre", "date", "listen_count", "unique_listeners")) == [
-        ("jazz", "2024-06-27", 1, 1), ("pop", "2024-06-25", 2, 2), ("rock", "2024-06-26", 1, 1)]
-    songs = json.loads(serving.point(items, "pop", "2024-06-25").first().top_3_songs)
-    assert songs == [{"rank": 1, "track_id": "track000000", "track_name": 'Song "0", live', "song_listen_count": 2}]
-    report = spark.read.json(f"{layout.root}/processed/reports/validation_one.json").first()
-    assert report.status == "PASSED" and report.record_count == 4 and report.duplicate_rows == 1
-    report_path = str(folder / "out" / "processed" / "reports" / "ingestion_two ?x? 100%.json")
-    loaded = spark.read.json(report_path).first()
-    assert loaded.partitions == ["2024-06-25", "2024-06-26", "2024-06-27"] and loaded.kpi_items_written == 3
-
-    # A restart takes only what is new, and archives what earlier batches have confirmed.
-    (folder / "in" / "three.csv").write_text(events("1,track000002,2024-06-28 09:00:00"))
-    assert len(run(spark, deployment)) == 1
-    assert {r.date for r in stored_kpi_items(spark, layout, NOW).collect()} == {
-        "2024-06-25", "2024-06-26", "2024-06-27", "2024-06-28"}
-    archived = {path.name for path in (folder / "out" / "archive").rglob("*.csv")}
-    assert "one.csv" in archived and not (folder / "in" / "one.csv").exists()
-    assert (folder / "in" / "three.csv").exists()
-
-
-def test_failed_file_goes_to_dead_letter_and_the_next_goes_on(spark, deployment):
-    folder, layout, _ = deployment
-    bad = ["x,track000000,2024-06-25 10:00:00", "1,nope,2024-06-25 10:00:00"]
-    (folder / "in" / "bad.csv").write_text(events(*bad))
-    (folder / "in" / "short.csv").write_text(events("1,track000000", header="user_id,track_id"))
-    (folder / "in" / "good.csv").write_text(events("1,track000000,2024-06-25 10:00:00"))
-    run(spark, deployment)
-    assert rows(stored_kpi_items(spark, layout, NOW).select("genre", "listen_count")) == [("pop", 1)]
-    letters = dead_letters.read_dead_letters(spark, layout.dead_letters)
-    assert {(r.stage, r.file_name) for r in letters.collect()} == {
-        ("validation", "bad.csv"), ("validation", "short.csv")}
-    kept = letters.where("file_name = 'bad.csv'").collect()
-    assert {r.line for r in kept} == {"user_id,track_id,listen_time", *bad}
-    assert kept[0].errors[:2] == ["user_id has 1 non-numeric value(s)", "track_id has 1 invalid value(s)"]
-    for name in ("bad", "short"):
-        assert spark.read.json(f"{layout.root}/dead-letter/reports/validation_{name}.json").first().status == "FAILED"
-    short = spark.read.json(f"{layout.root}/dead-letter/reports/validation_short.json")
-    assert short.first().errors == ["Missing required columns: ['listen_time']"]
-    assert set(short.columns) == {"status", "record_count", "errors", "validated_at"}
-
-
-def test_batch_that_is_repeated_after_a_crash_changes_nothing(spark, deployment, monkeypatch):
-    folder, layout, _ = deployment
-    (folder / "in" / "one.csv").write_text(events(
-        "1,track000000,2024-06-25 10:00:00", "2,track000001,2024-06-26 10:00:00"))
-
-    def crash_afterwards(*arguments):
-        process_file(*arguments)
-        raise RuntimeError("driver lost before the batch was committed")
-
-    monkeypatch.setattr(arrivals, "process_file", crash_afterwards)
-    with pytest.raises(StreamingQueryException):
-        run(spark, deployment)
-    before = sorted(map(repr, stored_kpi_items(spark, layout, NOW).collect()))
-    monkeypatch.undo()
-    assert len(run(spark, deployment)) == 1
-    assert sorted(map(repr, stored_kpi_items(spark, layout, NOW).collect())) == before and len(before) == 2
-
-
-def test_header_only_file_passes_and_writes_nothing(spark, deployment):
-    folder, layout, _ = deployment
-    (folder / "in" / "none.csv").write_text(events())
-    run(spark, deployment)
-    report = spark.read.json(f"{layout.root}/processed/reports/validation_none.json").first()
-    assert report.status == "PASSED" and report.record_count == 0 and report.unknown_user_pct == 0
-    assert not (folder / "out" / "serving").exists()
-
-
-def test_file_without_a_header_fails_validation(spark, deployment):
-    folder, layout, settings = deployment
-    path = folder / "in" / "empty.csv"
-    path.write_text("")
-    assert process_file(spark, str(path), path.name, settings) == "validation"
-    report = spark.read.json(f"{layout.root}/dead-letter/reports/validation_empty.json").first()
-    assert report.status == "FAILED" and report.record_count == 0
-
-
-def test_unreadable_reference_skips_the_check_then_fails_the_transform(spark, deployment):
-    folder, layout, settings = deployment
-    (folder / "in" / "one.csv").write_text(events("1,track000000,2024-06-25 10:00:00"))
-    run(spark, deployment, Settings(str(folder / "gone.csv"), settings.users_path, layout, clock=lambda: NOW))
-    report = spark.read.json(f"{layout.root}/processed/reports/validation_one.json")
-    assert report.first().status == "PASSED" and "unknown_user_pct" not in report.columns
-    assert [r.stage for r in dead_letters.read_dead_letters(spark, layout.dead_letters)
-            .select("stage").distinct().collect()] == ["transform"]
-
-
-@pytest.mark.parametrize("accumulate, plays", [(False, 1), (True, 3)])
-def test_files_that_share_a_date_replace_or_add_up(spark, deployment, accumulate, plays):
-    folder, layout, settings = deployment
-    (folder / "in" / "a.csv").write_text(events(
-        "1,track000000,2024-06-25 10:00:00", "2,track000000,2024-06-25 11:00:00"))
-    run(spark, deployment, Settings(settings.songs_path, settings.users_path, layout, clock=lambda: NOW,
-                                    accumulate=accumulate))
-    (folder / "in" / "b.csv").write_text(events("1,track000000,2024-06-25 12:00:00"))
-    run(spark, deployment, Settings(settings.songs_path, settings.users_path, layout, clock=lambda: NOW,
-                                    accumulate=accumulate, reload_all=False))
-    assert rows(stored_kpi_items(spark, layout, NOW).select("genre", "listen_count")) == [("pop", plays)]
-
-
-def together(deployment):
-    folder, layout, settings = deployment
-    return Settings(settings.songs_path, settings.users_path, layout, clock=lambda: NOW, accumulate=True)
-
-
-def test_files_of_one_batch_go_together_with_a_verdict_on_each(spark, deployment, monkeypatch):
-    folder, layout, _ = deployment
-    day = [f"1,track000000,2024-06-25 {h:02}:{m:02}:00" for h in range(20) for m in range(60)]
-    (folder / "in" / "a+b [1] 100%.csv").write_text(events(*day, "2,track000000,later"))
-    (folder / "in" / "b.csv").write_text(events("2,track000000,2024-06-25 11:00:00", "2,track000001,2024-06-26 11:00:00"))
-    (folder / "in" / "bad.csv").write_text(events("x,track000000,2024-06-25 12:00:00", "9,track000000,2024-06-25 12:00:00"))
-    monkeypatch.setattr(arrivals, "process_file", None)  # nothing goes one by one
-    assert len(run(spark, deployment, together(deployment), files_per_trigger=10)) == 1
-    items = stored_kpi_items(spark, layout, NOW)
-    assert rows(items.select("genre", "date", "listen_count", "unique_listeners")) == [
-        ("pop", "2024-06-25", 1201, 2), ("rock", "2024-06-26", 1, 1)]
-    letters = dead_letters.read_dead_letters(spark, layout.dead_letters).select("file_name", "stage").distinct()
-    assert rows(letters) == [("bad.csv", "validation")]
-    assert rows(spark.read.parquet(layout.rejects)) == [("2", "track000000", "later", "a+b [1] 100%.csv")]
-    report = spark.read.json(f"{layout.root}/processed/reports/validation_b.json").first()
-    assert (report.status, report.input_key, report.record_count) == ("PASSED", "b.csv", 2)
-    failed = spark.read.json(f"{layout.root}/dead-letter/reports/validation_bad.json").first()
-    assert failed.errors[0] == "user_id has 1 non-numeric value(s)" and failed.unknown_user_pct == 1.0
-
-
-def test_files_with_other_headers_go_one_by_one(spark, deployment):
-    folder, layout, _ = deployment
-    (folder / "in" / "a.csv").write_text(events("1,track000000,2024-06-25 10:00:00"))
-    (folder / "in" / "b.csv").write_text(events("2024-06-25 11:00:00,track000000,2", header="listen_time,track_id,user_id"))
-    run(spark, deployment, together(deployment), files_per_trigger=10)
-    assert rows(stored_kpi_items(spark, layout, NOW).select("genre", "listen_count", "unique_listeners")) == [("pop", 2, 2)]
-
-
-def test_rows_without_a_day_are_set_aside(spark, deployment):
-    folder, layout, _ = deployment
-    good = [f"1,track000000,2024-06-25 {h:02}:{m:02}:00" for h in range(20) for m in range(60)]
-    (folder / "in" / "one.csv").write_text(events(*good, "2,track000000,later"))
-    run(spark, deployment)
-    assert [tuple(r) for r in spark.read.parquet(layout.rejects).collect()] == [
-        ("2", "track000000", "later", "one.csv")]
-    assert stored_kpi_items(spark, layout, NOW).first().listen_count == 1200
-
-
 def test_quoted_text_is_read_right(spark, tmp_path):
     path = tmp_path / "songs.csv"
     path.write_text('track_id,track_name,track_genre,duration_ms,artists,album_name\n'
