@@ -110,12 +110,13 @@ def format_turns(turns: DataFrame) -> DataFrame:
             batch = batch.drop(columns="parts")
             for i, name in enumerate(("formatted", "loss_start", "loss_end", "refs", "tokens")):
                 batch[name] = [row[i] for row in made]
-            batch["conv_id"], batch["turn"] = batch["conv_id"].astype("Int64"), batch["turn"].astype("Int64")
             yield batch
 
     text = F.col("text") if "text" in turns.columns else F.lit(None).cast("string")
-    return turns.select(F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), "role", text.alias("text"),
-                        parts.alias("parts")).mapInPandas(run, FORMATTED)
+    # Numbers travel as text: beside nulls pandas would make doubles of them.
+    formatted = turns.select(F.col("conv_id").cast("string"), F.col("turn").cast("string"), "role", text.alias("text"),
+                             parts.alias("parts")).mapInPandas(run, FORMATTED.replace("conv_id bigint, turn bigint", "conv_id string, turn string"))
+    return formatted.withColumns({name: F.col(name).cast("bigint") for name in ("conv_id", "turn")})
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
@@ -125,7 +126,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
         def done() -> dict:
             turns, loss, counts = state
-            return {"conv_id": None if key == "" else int(key), "turns_sha256": turns.hexdigest(),
+            return {"conv_id": key or None, "turns_sha256": turns.hexdigest(),
                     "loss_sha256": loss.hexdigest()} | counts
 
         for batch in batches:
@@ -152,7 +153,8 @@ def read_back(formatted: DataFrame) -> DataFrame:
     names = [column.split()[0] for column in DIGESTS.replace("\n", " ").split(",")]
     return (formatted.withColumn("key", F.coalesce(F.col("conv_id").cast("string"), F.lit("")))
             .repartition("key").sortWithinPartitions("key", "turn", "role", "text")
-            .select("key", "formatted", "loss_start", "loss_end", "tokens").mapInPandas(run, DIGESTS))
+            .select("key", "formatted", "loss_start", "loss_end", "tokens")
+            .mapInPandas(run, DIGESTS.replace("conv_id bigint", "conv_id string")).withColumn("conv_id", F.col("conv_id").cast("bigint")))
 
 
 # ---- Query ----------------------------------------------------------------------------------------
