@@ -49,8 +49,9 @@ def compact(spark: SparkSession, root: str, schema: StructType, keys: tuple[str,
     stored = read_table(spark, root, schema)
     stale = stored.where(F.col("ttl_expiry") <= F.lit(epoch_seconds(now))).select(date).distinct()
     kept = durable(live(stored, now).join(stale, date, "left_semi"), checkpoints)
+    # Dates are a calendar's worth of names, whatever the rows. Both are known before any file is replaced.
+    last = stored.groupBy(date).agg(F.max("ttl_expiry").alias("last")).where(F.col("last") <= F.lit(epoch_seconds(now)))
+    gone = [row[0] for row in last.select(date).collect()]
     write_by_date(kept, root, date=date, order=keys)
-    # Dates are a calendar's worth of names, whatever the rows.
-    gone = stored.groupBy(date).agg(F.max("ttl_expiry").alias("last")).where(F.col("last") <= F.lit(epoch_seconds(now)))
-    for row in gone.select(date).collect():
-        delete(stored.sparkSession, f"{root}/{date}={row[0]}")
+    for day in gone:
+        delete(spark, f"{root}/{date}={day}")
