@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playtally.llm.storage import cut
+
 SHINGLE, CONTAINED_PERCENT, BANDS = 5, 75, 64
 MOST_TEMPLATE_SHINGLES = 100_000
 
@@ -131,9 +133,10 @@ def _windows(half: int):
 
 def scan(docs: DataFrame, templates: DataFrame) -> DataFrame:
     """One row per row of `docs`: doc_id, n_licenses, licenses (names by alphabet), n_windows."""
-    found = matches(docs, templates).groupBy("key").agg(
+    # Written first: a join that also aggregates one side cannot split the rows of many equal texts.
+    found = cut(matches(docs, templates).groupBy("key").agg(
         F.count(F.lit(1)).alias("n_licenses"), F.array_join(F.sort_array(F.collect_list("license")), ",").alias("licenses"),
-        F.sum("windows").alias("n_windows"))
+        F.sum("windows").alias("n_windows")))
     base = docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("key"))
     return base.join(found, "key", "left").select(
         "doc_id", F.coalesce("n_licenses", F.lit(0)).alias("n_licenses"), F.coalesce("licenses", F.lit("")).alias("licenses"),

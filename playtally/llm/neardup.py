@@ -9,11 +9,14 @@ Prefix merging: postings are ordered by rarity. Two signatures with MATCHES coll
 of otherwise different documents share is never rare within them and makes no candidates. Skip merging: a
 posting held by one signature is skipped, a signature with fewer than MATCHES shared postings leaves altogether.
 
-No list of postings is expanded into its pairs. First every member is compared with the list's pivot
-only, which is linear and settles groups of copies of any size. Lists whose members then lie in one
-component are done. In the others, members outside the largest component meet the list in tiles of at most
-TILE x TILE signatures, where collisions are counted in place and only pairs of different components
-above the threshold leave the task. All candidate pairs are confirmed on their full shingle sets.
+No list of postings is expanded into its pairs. First every member is compared with the list's pivot only (the
+member that shares most with others, the centre of a group of copies), which is linear and settles most of a group of
+any size. Lists whose members then lie in one component are done. In the others, members outside the largest
+component meet the list in tiles of at most TILE x TILE signatures, where collisions of longer signatures
+(FINE coordinates, FINE_MATCHES of them to pass, again missed by less than one pair in 10^6) are counted in place. Pairs
+of different components above that threshold, each in the first list that it shares, are handed on by member, not
+pair by pair, and confirmed where the members' full sets meet; only links that join components leave. Pairs with a
+pivot are confirmed on their full sets by joins.
 
 Equal sets are one class from the start (documents of a class are joined back by key at the end), so
 exact copies cost nothing beyond an aggregate. Classes are named by 64 bits of a set hash and confirmed by 64 more.
@@ -37,9 +40,10 @@ from playtally.llm.storage import cut
 
 SHINGLE, SIMILAR_PERCENT = 5, 75
 COORDINATES, MATCHES, TILE = 64, 30, 1024
+FINE, FINE_MATCHES = 256, 156
 _RNG = np.random.default_rng(20240602)
-_FLIP = _RNG.integers(0, 2**63, COORDINATES, dtype=np.uint64)
-_TURN = _RNG.integers(0, 2**63, COORDINATES, dtype=np.uint64) | np.uint64(1)
+_FLIP = _RNG.integers(0, 2**63, FINE, dtype=np.uint64)
+_TURN = _RNG.integers(0, 2**63, FINE, dtype=np.uint64) | np.uint64(1)
 _NAME_SALT = np.uint64(0xA0761D6478BD642F)
 
 
@@ -78,79 +82,126 @@ def _names(values: np.ndarray, sizes: np.ndarray, starts: np.ndarray) -> tuple[n
     return tuple(_reduced(np.add, mixed(values ^ salt), sizes, starts).view(np.int64) for salt in (np.uint64(0), _NAME_SALT))
 
 
+def _columns(rows: list[tuple], names: list[str]) -> pd.DataFrame:
+    """A frame whose class names stay whole numbers beside nulls; pandas by itself would make doubles of them."""
+    made = pd.DataFrame({name: pd.Series([row[i] for row in rows], dtype="Int64" if name in ("name", "check") else object)
+                         for i, name in enumerate(names)})
+    return made.astype({"n": "int64"}) if "n" in names else made
+
+
 def _signed(texts: pd.Series) -> pd.DataFrame:
-    """Set size, class names and posting keys (coordinate in the high bits) of each text."""
+    """Set size, class names and the minima by coordinate, in 32 bits each, of each text."""
     rows = []
     for _, sizes, starts, values in shingle_sets(texts.tolist()):
-        posts = np.empty((int((sizes > 0).sum()), COORDINATES), np.int64)
+        posts = np.empty((int((sizes > 0).sum()), COORDINATES), np.int32)
         for c in range(COORDINATES):
             least = _reduced(np.minimum, (values ^ _FLIP[c]) * _TURN[c], sizes, starts)
-            posts[:, c] = (mixed(least) >> np.uint64(32)).astype(np.int64) | (c << 32)
+            posts[:, c] = (mixed(least) >> np.uint64(32)).astype(np.uint32).view(np.int32)
         one, two = _names(values, sizes, starts)
         used = iter(range(len(posts)))
         for size in sizes.tolist():
             at = next(used) if size else None
             rows.append((size, None, None, None) if at is None else (size, int(one[at]), int(two[at]), posts[at]))
-    made = pd.DataFrame(rows, columns=["n", "name", "check", "posts"])
-    return made.astype({"name": "Int64", "check": "Int64"})
+    return _columns(rows, ["n", "name", "check", "posts"])
 
 
 def _sets(texts: pd.Series) -> pd.DataFrame:
+    """Class names, the full set and FINE minima of one byte each, of each text that has any words."""
     rows = []
     for _, sizes, starts, values in shingle_sets(texts.tolist()):
         one, two = _names(values, sizes, starts)
-        rows += [(int(one[i]), int(two[i]), values[a:a + n].view(np.int64)) for i, (a, n) in enumerate(zip(starts, sizes))]
-    return pd.DataFrame(rows, columns=["name", "check", "shingles"])
+        fine = np.empty((len(one), FINE), np.uint8)
+        for c in range(FINE):
+            fine[:, c] = mixed(_reduced(np.minimum, (values ^ _FLIP[c]) * _TURN[c], sizes, starts)) & np.uint64(0xFF)
+        used = iter(range(len(one)))
+        for start, size in zip(starts.tolist(), sizes.tolist()):
+            at = next(used) if size else None
+            rows.append((None, None, None, None) if at is None else (
+                int(one[at]), int(two[at]), values[start:start + size].view(np.int64), fine[at].tobytes()))
+    return _columns(rows, ["name", "check", "shingles", "fine"])
 
 
 def prefix_postings(classes: DataFrame) -> DataFrame:
-    """(post, name, posts) of the rarest postings of each class that can have a partner at all."""
-    every = classes.select("name", F.explode("posts").alias("post"))
-    shared = every.groupBy("post").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
-    held = (every.join(shared, "post").groupBy("name").agg(F.sort_array(F.collect_list(F.struct("holders", "post"))).alias("held"))
-            .where(F.size("held") >= MATCHES))
-    return held.select("name", F.explode(F.slice("held", 1, F.size("held") - (MATCHES - 1))).alias("one")).select(
-        "name", F.col("one.post").alias("post"))
-
-
-def pivot_pairs(prefix: DataFrame) -> DataFrame:
-    """(a, b): each list's first name with every other member."""
-    pivots = prefix.groupBy("post").agg(F.min("name").alias("a"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    return prefix.join(pivots, "post").where("name <> a").select("a", F.col("name").alias("b")).distinct()
-
-
-def tile_pairs(prefix: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b) above the threshold whose lists hold several components: each member outside its list's largest
-    component against the whole list, in tiles of bounded size."""
-    placed = prefix.join(labels, "name", "left").select("post", "name", F.coalesce("label", "name").alias("label"))
+    """(name, prefix, weight): the rarest postings of each class that can have a partner, rarest first, and how
+    much it shares with others."""
+    every = classes.select("name", F.posexplode("posts")).select(
+        "name", F.expr("shiftleft(cast(pos as bigint), 32) | (cast(col as bigint) & 4294967295L)").alias("post"))
+    # Written first: a join that also aggregates one side cannot split the rows of a hot posting.
+    shared = cut(every.groupBy("post").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1"))
+    held = every.join(shared, "post").groupBy("name").agg(
+        F.sort_array(F.collect_list(F.struct("holders", "post"))).alias("held"), F.sum("holders").alias("weight"))
+    return held.where(F.size("held") >= MATCHES).select(
+        "name", F.slice("held.post", F.lit(1), F.size("held") - (MATCHES - 1)).alias("prefix"), "weight")
+
+
+def pivot_pairs(prefixes: DataFrame) -> DataFrame:
+    """(a, b): each list's pivot with every other member."""
+    listed = prefixes.select("name", "weight", F.explode("prefix").alias("post"))
+    pivots = listed.groupBy("post").agg(
+        F.max(F.struct("weight", "name")).alias("pivot"), F.count(F.lit(1)).alias("m")).where("m > 1").select(
+        "post", F.col("pivot.name").alias("a"))
+    return listed.join(pivots, "post").where("name <> a").select(
+        F.least("name", "a").alias("a"), F.greatest("name", "a").alias("b")).distinct()
+
+
+def tile_links(prefixes: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) that join components within lists that hold several: each member outside its list's largest component
+    against the whole list, in tiles of bounded size. Pairs above the threshold are confirmed in a tile of their own,
+    where their sets meet once each; pairs that links of the tile already join are not looked at."""
+    placed = prefixes.join(labels, "name", "left").select(
+        "name", F.coalesce("label", "name").alias("label"), F.explode("prefix").alias("post"))
     sizes = placed.groupBy("post", "label").agg(F.count(F.lit(1)).alias("k"))
     lists = sizes.groupBy("post").agg(F.max_by("label", F.struct("k", "label")).alias("largest"),
                                       F.sum("k").alias("m"), F.max("k").alias("most")).where("m > most")
-    blocks = lambda n: F.ceil(F.col(n) / TILE).cast("int")
-    members = (placed.join(lists, "post").withColumn("outside", F.col("label") != F.col("largest"))
-               
-               .withColumn("rows", blocks("m")).withColumn("columns", F.expr(f"cast(ceil((m - most) / {TILE}) as int)"))
-               .join(classes.select("name", "posts"), "name"))
-    whole = members.select(
-        "post", "name", "label", "posts", F.lit(False).alias("asks"), F.pmod(F.xxhash64("name"), "rows").cast("int").alias("i"),
-        F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("j"))
-    asking = members.where("outside").select(
-        "post", "name", "label", "posts", F.lit(True).alias("asks"),
-        F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"),
-        F.pmod(F.xxhash64("name"), "columns").cast("int").alias("j"))
+    blocks = lambda count: F.ceil(count / TILE).cast("int")
+    members = placed.join(lists, "post").select(
+        "name", "label", "post", (F.col("label") != F.col("largest")).alias("outside"),
+        blocks(F.col("m")).alias("rows"), blocks(F.col("m") - F.col("most")).alias("columns"))
+    signed = members.join(sets.select("name", "fine"), "name").join(prefixes.select("name", "prefix"), "name")
+    kept = ["post", "name", "label", "fine", "prefix"]
+    place = F.xxhash64("name")
+    whole = signed.select(*kept, F.lit(False).alias("asks"), F.pmod(place, "rows").cast("int").alias("i"),
+                          F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("j"))
+    asking = signed.where("outside").select(
+        *kept, F.lit(True).alias("asks"), F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"),
+        F.pmod(place, "columns").cast("int").alias("j"))
 
     def compare(tile: pd.DataFrame) -> pd.DataFrame:
-        asks = tile["asks"].to_numpy()
-        grid = np.stack(tile["posts"].to_numpy()) & 0xFFFFFFFF
-        grid, names, labels = grid.astype(np.uint32), tile["name"].to_numpy(), tile["label"].to_numpy()
-        members, found = np.flatnonzero(~asks), []
+        asks, names, labels = (tile[name].to_numpy() for name in ("asks", "name", "label"))
+        grid = np.frombuffer(b"".join(tile["fine"]), np.uint8).reshape(len(tile), FINE)
+        prefixes, post, found = tile["prefix"].tolist(), tile["post"].iloc[0], {}
+        members = np.flatnonzero(~asks)
         for row in np.flatnonzero(asks):
             rivals = members[labels[members] != labels[row]]
-            hits = rivals[(grid[rivals] == grid[row]).sum(axis=1) >= MATCHES]
-            found += [(min(names[row], names[hit]), max(names[row], names[hit])) for hit in hits]
-        return pd.DataFrame(sorted(set(found)), columns=["a", "b"])
-
-    return whole.unionByName(asking).groupBy("post", "i", "j").applyInPandas(compare, "a bigint, b bigint").distinct()
+            hits = rivals[(grid[rivals] == grid[row]).sum(axis=1) >= FINE_MATCHES]
+            if len(hits):
+                mine = prefixes[row].tolist()
+                before = set(mine[:mine.index(post)])
+                near = [hit for hit in hits if before.isdisjoint(prefixes[hit].tolist())]
+                if near:
+                    found.setdefault((names[row], labels[row]), []).extend(names[near])
+                    for hit in near:
+                        found.setdefault((names[hit], labels[hit]), [])
+        rows = [(post, tile["i"].iloc[0], tile["j"].iloc[0], name, label, partners) for (name, label), partners in found.items()]
+        return pd.DataFrame(rows, columns=["post", "i", "j", "name", "label", "partners"])
+
+    def confirm(tile: pd.DataFrame) -> pd.DataFrame:
+        held = {name: set(shingles.tolist()) for name, shingles in zip(tile["name"], tile["shingles"])}
+        group, links = dict(zip(tile["name"], tile["label"])), []
+        for name, partners in zip(tile["name"], tile["partners"]):
+            for other in partners.tolist():
+                if group[name] != group[other]:
+                    both = len(held[name] & held[other])
+                    if 100 * both >= SIMILAR_PERCENT * (len(held[name]) + len(held[other]) - both):
+                        links.append((name, other))
+                        old, new = group[other], group[name]
+                        group = {one: new if label == old else label for one, label in group.items()}
+        return pd.DataFrame(links, columns=["a", "b"])
+
+    tile = ["post", "i", "j"]
+    near = whole.unionByName(asking).groupBy(*tile).applyInPandas(
+        compare, "post bigint, i int, j int, name bigint, label bigint, partners array<bigint>")
+    return near.join(sets.select("name", "shingles"), "name").groupBy(*tile).applyInPandas(confirm, "a bigint, b bigint").distinct()
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -180,24 +231,24 @@ def components(links: DataFrame) -> DataFrame:
 
 def _grouped(docs: DataFrame) -> DataFrame:
     """One row per row of `docs`: doc_id, text_key (64 bits of the text's hash), n_shingles, component_id, kept."""
-    signed = F.pandas_udf(_signed, "n bigint, name bigint, check bigint, posts array<bigint>")
+    signed = F.pandas_udf(_signed, "n bigint, name bigint, check bigint, posts array<int>")
     base = cut(docs.select("doc_id", F.xxhash64("text").alias("text_key"), signed("text").alias("s"))
                .select("doc_id", "text_key", "s.*"))
     classes = cut(base.where("n > 0").groupBy("name", "check").agg(
         F.min("doc_id").alias("first_id"), F.first("posts").alias("posts")))
-    prefix = cut(prefix_postings(classes))
+    prefixes = cut(prefix_postings(classes))
 
-    wanted = prefix.select("name").distinct().join(classes.select("name", "check", "first_id"), "name")
-    made = F.pandas_udf(_sets, "name bigint, check bigint, shingles array<bigint>")
+    wanted = prefixes.select("name").join(classes.select("name", "check", "first_id"), "name")
+    made = F.pandas_udf(_sets, "name bigint, check bigint, shingles array<bigint>, fine binary")
     texts = docs.select(F.col("doc_id").alias("first_id"), "text").join(
         wanted.withColumnsRenamed({"name": "w_name", "check": "w_check", "first_id": "w_id"}),
         F.col("first_id").eqNullSafe(F.col("w_id")))
     fetched = texts.select("w_name", "w_check", made("text").alias("s")).where("s.name = w_name and s.check = w_check")
-    sets = cut(fetched.select("s.name", "s.shingles").dropDuplicates(["name"]))
+    sets = cut(fetched.select("s.name", "s.shingles", "s.fine").dropDuplicates(["name"]))
 
-    links = cut(confirmed(pivot_pairs(prefix), sets))
+    links = cut(confirmed(pivot_pairs(prefixes), sets))
     labels = components(links)
-    more = cut(confirmed(tile_pairs(prefix, labels, classes), sets))
+    more = cut(tile_links(prefixes, labels, sets))
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 

@@ -222,19 +222,21 @@ def _kept(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
 
 def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(key, text) of the texts that hold an anchor seen elsewhere, and (key, runs) of their repeated bytes."""
-    texts = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"), "text").where(
+    # As text, since pandas would make doubles of numbers beside nulls.
+    texts = docs.select(F.col("doc_id").cast("string").alias("id"), F.xxhash64("text").alias("key"), "text").where(
         F.octet_length("text") >= MATCH)
-    rows = texts.mapInPandas(_anchor_rows, "anchor bigint, key bigint, start int, id bigint")
+    rows = texts.mapInPandas(_anchor_rows, "anchor bigint, key bigint, start int, id string")
     place = F.xxhash64("key", "start")
-    shared = rows.groupBy("anchor").agg(F.min(place).alias("one"), F.max(place).alias("other")).where(
-        "one <> other").select("anchor")
+    # Written first: a join that also aggregates one side cannot split the rows of a hot anchor.
+    shared = cut(rows.groupBy("anchor").agg(F.min(place).alias("one"), F.max(place).alias("other")).where(
+        "one <> other").select("anchor"))
     wanted = rows.join(shared, "anchor").groupBy("key").agg(F.min("id").alias("w_id"), F.collect_set("anchor").alias("anchors"))
     wanted = wanted.withColumnRenamed("key", "w_key")
     near = cut(texts.join(wanted, F.col("id").eqNullSafe(F.col("w_id")) & (F.col("key") == F.col("w_key")))
                .select("key", "text", "anchors"))
 
     contexts = near.mapInPandas(_context_rows, CONTEXT)
-    buckets = contexts.groupBy("anchor").agg(F.count_distinct("context").alias("held"))
+    buckets = cut(contexts.groupBy("anchor").agg(F.count_distinct("context").alias("held")))
     unique = contexts.groupBy("context").agg(
         F.min(place).alias("one"), F.max(place).alias("other"), F.first("anchor").alias("anchor"),
         F.first("starts").alias("starts"), F.first("bytes").alias("bytes"))
@@ -264,7 +266,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         _kept, "n_removed bigint, n_spans bigint, kept_sha256 string")("text", "runs").alias("r"))
     base = docs.select("doc_id", F.xxhash64("text").alias("key"), F.octet_length("text").cast("bigint").alias("n_bytes"),
                        F.sha2("text", 256).alias("whole"))
-    copies = base.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
+    copies = cut(base.groupBy("key").agg(F.count(F.lit(1)).alias("copies")))
     gone = (F.col("copies") > 1) & (F.col("n_bytes") >= MATCH)
     return base.join(copies, "key").join(cleaned, "key", "left").select(
         "doc_id", "n_bytes",
