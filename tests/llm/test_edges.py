@@ -384,3 +384,15 @@ def test_pii_learns_from_votes(spark):
     assert all([s.kind for s in got[60 + i].pii.all] == ["local_phone"] for i in range(40))
     assert not any(got[100 + i].pii.all for i in range(40))
     assert pii.mask("a x@y.de b", [(2, 8, "email")]) == "a [EMAIL] b"
+
+
+def test_chain_of_copies_is_one_group(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "TILE", 8)
+    texts = [prose(42, 300)]
+    for i in range(30):
+        texts.append(edited(texts[-1], i, 5))
+    texts += [edited(texts[0], 100 + i, 14) for i in range(20)]
+    got = rows(neardup.group(documents(spark, texts)))
+    for i, (n, label) in enumerate(python_groups(texts)):
+        assert (got[i].n_shingles, got[i].component_id, got[i].kept) == (n, label, i == label), i
+    assert got[30].component_id == 0
