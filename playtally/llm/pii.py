@@ -12,13 +12,15 @@ in each task and then in Spark, a table of at most 9 x 3^5 x 4 rows whatever the
 narrow pass with no shuffle. A text is scanned once per pattern; memory is one text and its spans.
 
 Defined results: a null text is empty; repeated rows get the same spans each and count as often in training;
-without any spans the model is the prior and adds nothing; a loose span that overlaps a base span or
-an earlier loose one is dropped; offsets are code points, end exclusive.
+without any spans the model is the prior and adds nothing; a loose span that overlaps a base span is dropped, and
+of loose spans that the classifier takes and that overlap, the one of the highest score stays (then the first);
+offsets are code points, end exclusive.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -115,16 +117,22 @@ def ordered(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
 
 
 def loose_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """Further spans that do not overlap base spans or each other."""
+    """All further candidates that do not overlap base spans; they may overlap each other until they are scored."""
     taken = sorted(base)
     found = [(*match.span(), "card") for match in _CARD.finditer(text) if 12 <= len(_digits(match[0])) <= 19]
     for kind, pattern in _LOOSE.items():
         if _NEEDED[kind].search(text):
             found += [(*match.span(), kind) for match in pattern.finditer(text)]
+    return [span for span in ordered(found) if not _overlaps(taken, span)]
+
+
+def settled(scored: list[tuple[float, tuple[int, int, str]]]) -> list[tuple[int, int, str]]:
+    """Of spans that overlap, the one of the highest score, then the first."""
     kept: list[tuple[int, int, str]] = []
-    for span in ordered(found):
-        if (not kept or kept[-1][1] <= span[0]) and not _overlaps(taken, span):
-            kept.append(span)
+    for _, span in sorted(scored, key=lambda one: (-one[0], one[1][0], KINDS.index(one[1][2]))):
+        at = bisect_left(kept, span)
+        if (not at or kept[at - 1][1] <= span[0]) and (at == len(kept) or span[1] <= kept[at][0]):
+            kept.insert(at, span)
     return kept
 
 
@@ -237,7 +245,8 @@ class Classifier:
         if loose:
             x = features(np.array([KINDS.index(span[2]) for span in loose]),
                          np.array([votes(text, span, False) for span in loose]), np.array(list(map(length_class, loose))))
-            loose = [span for span, value in zip(loose, x @ self.weights) if value >= np.log(THRESHOLD / (1 - THRESHOLD))]
+            least = np.log(THRESHOLD / (1 - THRESHOLD))
+            loose = settled([(value, span) for span, value in zip(loose, x @ self.weights) if value >= least])
         return base, loose
 
 

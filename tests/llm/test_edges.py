@@ -386,6 +386,21 @@ def test_pii_learns_from_votes(spark):
     assert pii.mask("a x@y.de b", [(2, 8, "email")]) == "a [EMAIL] b"
 
 
+def test_pii_beside_numbers(spark):
+    ssn, phone = "ssn list: 123-45-6789 987-65-4321", "call Unit 42 212-555-0101 now"
+    assert [s for s in pii.loose_spans(ssn, []) if s[2] == "ssn"] == [(10, 21, "ssn"), (22, 33, "ssn")]
+    assert (13, 25, "local_phone") in pii.loose_spans(phone, [])
+    assert pii.settled([(1.0, (0, 9, "card")), (3.0, (4, 9, "ssn")), (2.0, (10, 12, "mac")), (3.0, (8, 11, "ssn"))]) == [
+        (4, 9, "ssn"), (10, 12, "mac")]
+    texts = [f"phone: Unit 42 212-555-{i:04d}." for i in range(100, 160)] + [f"call me at 212-555-{i:04d} 2024" for i in range(200, 260)]
+    texts += [f"mail a{i}@b.com or call +49 170 555 12{i:02d}" for i in range(60)] + [f"order x{400 + i}-555-01{i:02d}y" for i in range(60)]
+    frame = documents(spark, texts)
+    got = rows(pii.find(frame, pii.fit(frame)))
+    for i in range(120):
+        base = [s.kind for s in got[i].pii.base]
+        assert base or [(texts[i][s.start:s.end][:8], s.kind) for s in got[i].pii.all] == [("212-555-", "local_phone")], texts[i]
+
+
 def test_chain_of_copies_is_one_group(spark, monkeypatch):
     monkeypatch.setattr(neardup, "TILE", 8)
     texts = [prose(42, 300)]
