@@ -116,13 +116,32 @@ def ordered(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     return sorted(spans, key=lambda span: (span[0], KINDS.index(span[2]), span[1]))
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Matches of the account pattern, cut to the length of their country where a word ends there. The pattern also takes
+    capital words that follow, so the search goes on behind the cut, or behind the first word where there is none."""
+    at = 0
+    while match := _LOOSE["iban"].search(text, at):
+        start, end = match.span()
+        left, cut = IBAN_LENGTHS.get(text[start:start + 2], 0), start
+        while left and cut < end:
+            left -= text[cut] != " "
+            cut += 1
+        if cut > start and not left and not text[cut:cut + 1].isalnum():
+            yield start, cut
+            at = cut
+        else:
+            yield start, end
+            at = start + 4
+
+
 def loose_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """All further candidates that do not overlap base spans; they may overlap each other until they are scored."""
     taken = sorted(base)
     found = [(*match.span(), "card") for match in _CARD.finditer(text) if 12 <= len(_digits(match[0])) <= 19]
     for kind, pattern in _LOOSE.items():
         if _NEEDED[kind].search(text):
-            found += [(*match.span(), kind) for match in pattern.finditer(text)]
+            places = _ibans(text) if kind == "iban" else (match.span() for match in pattern.finditer(text))
+            found += [(*place, kind) for place in places]
     return [span for span in ordered(found) if not _overlaps(taken, span)]
 
 

@@ -401,6 +401,18 @@ def test_pii_beside_numbers(spark):
         assert base or [(texts[i][s.start:s.end][:8], s.kind) for s in got[i].pii.all] == [("212-555-", "local_phone")], texts[i]
 
 
+def test_pii_account_before_capital_words(spark):
+    number, other = "BE68 5390 0754 7034", "AT61 1904 3002 3457 3201"
+    for text in (f"{number} BIC KREDBEBB", f"{number} PAYMENT", f"AB12 {number} EUR", number, f"{number.replace(' ', '')} BIC"):
+        assert number.replace(" ", "") in [text[a:b].replace(" ", "") for a, b, _ in pii.loose_spans(text, [])], text
+    text = f"{number} {other} BIC"
+    assert [text[a:b] for a, b, kind in pii.loose_spans(text, []) if kind == "iban"] == [number, other]
+    texts = [f"IBAN {number} BIC KREDBEBB {i}" for i in range(60)] + [f"mail a{i}@b.com or call +49 170 555 12{i:02d}" for i in range(60)]
+    frame = documents(spark, texts)
+    got = rows(pii.redact(frame, pii.fit(frame)))
+    assert all(got[i].text == f"IBAN [IBAN] BIC KREDBEBB {i}" for i in range(60))
+
+
 def test_chain_of_copies_is_one_group(spark, monkeypatch):
     monkeypatch.setattr(neardup, "TILE", 8)
     texts = [prose(42, 300)]
