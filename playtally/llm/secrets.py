@@ -1,7 +1,9 @@
 """Secrets in texts: three base patterns, and a randomness battery for whatever else looks like a key.
 
-Candidates are runs of 16 or more key characters. For each, the encoding is inferred (hex, base32, base64,
-URL-safe base64 or letters and digits) and three tests ask whether its characters can be uniform draws of
+Candidates are runs of 16 or more key characters; '=' is only padding at their end, so a name and its value are two. Where
+no encoding fits a run (signs of both base64 alphabets in one), its longest parts of 16 or more characters that fit one
+are the candidates; they may overlap. For each, the encoding is inferred (hex, base32, base64, URL-safe base64
+or letters and digits) and three tests ask whether its characters can be uniform draws of
 that alphabet: chi-squared uniformity, the runs test about the middle of the alphabet, and serial
 correlation at lag one. The least of the three p-values, times three, is the battery's p-value.
 
@@ -28,7 +30,9 @@ from pyspark.sql import functions as F
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS, HEX = "AKIA[A-Z0-9]{14,}", "[0-9a-f]{16,}"
-CANDIDATE = "[A-Za-z0-9+/_=-]{16,}"
+CANDIDATE = "[A-Za-z0-9+/_-]{16,}(?:={1,6}(?![A-Za-z0-9+/_=-]))?"
+#: Parts of a run that no encoding fits.
+PARTS = ("[A-Za-z0-9+/]{16,}={0,2}", "[A-Za-z0-9_-]{16,}={0,2}")
 MIN_ASSIGNED = 12
 #: Share of neighbours of different kind in ordinary text, false discovery rate, level of the battery.
 TEXT_CHANGES, FALSE_DISCOVERIES, BATTERY_LEVEL = 0.05, 0.001, 0.001
@@ -136,14 +140,36 @@ def length_class(token: Column) -> Column:
     return sum((F.length(token) >= bound).cast("int") for bound in LENGTH_CLASSES)
 
 
+def _runs(text: Column, pattern: str) -> Column:
+    """array<struct<start, token>> of the matches of a pattern."""
+    rows = F.arrays_zip(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("token"),
+                        F.transform(F.split(text, pattern, -1), F.length).alias("gap"))
+    empty = F.expr("cast(array() as array<struct<start:int,token:string>>)")
+
+    def step(seen: Column, row: Column) -> Column:
+        start = seen["at"] + row["gap"]
+        run = F.array(F.struct(start.alias("start"), row["token"].alias("token")))
+        return F.struct((start + F.length(row["token"])).alias("at"), F.concat(seen["out"], run).alias("out"))
+
+    # The last gap has no match before it.
+    matched = F.filter(rows, lambda row: row["token"].isNotNull())
+    runs = F.aggregate(matched, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda seen: seen["out"])
+    return F.when(text.rlike(pattern), runs).otherwise(empty)
+
+
 def candidates(text: Column) -> Column:
-    return F.when(text.rlike(CANDIDATE), F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))).otherwise(
-        F.expr("cast(array() as array<string>)"))
+    """array<struct<start, token>>: the runs that an encoding fits, and the parts of the others that one fits."""
+    def tested(run: Column) -> Column:
+        parts = F.concat(*[_runs(run["token"], part) for part in PARTS])
+        moved = F.transform(parts, lambda part: F.struct((part["start"] + run["start"]).alias("start"), part["token"].alias("token")))
+        return F.when(run["token"].rlike("|".join(pattern for pattern, _ in ENCODINGS)), F.array(run)).otherwise(moved)
+
+    return F.flatten(F.transform(_runs(text, CANDIDATE), tested))
 
 
 def discovery_bins(docs: DataFrame) -> list[int]:
     """Per length class the least bin that is a discovery, by the Benjamini-Hochberg rule over all candidates."""
-    tokens = docs.select(F.explode(candidates(F.col("text"))).alias("token"))
+    tokens = docs.select(F.explode(candidates(F.col("text"))["token"]).alias("token"))
     counts = tokens.groupBy(length_class(F.col("token")).alias("class"), changes_bin(F.col("token")).alias("bin")).count()
     bounds = [MOST_BINS + 1] * (len(LENGTH_CLASSES) + 1)
     by_class: dict[int, dict[int, int]] = {}
@@ -163,7 +189,9 @@ def random_spans(text: Column, base: Column, bounds: list[int]) -> Column:
         least = F.element_at(F.array(*map(F.lit, bounds)), length_class(token) + 1)
         return (changes_bin(token) >= least) & (battery(token) >= BATTERY_LEVEL)
 
-    found = _matches(text, "random", CANDIDATE, valid)
+    found = F.transform(F.filter(candidates(text), lambda run: valid(run["token"])), lambda run: F.struct(
+        run["start"].alias("start"), F.lit(KINDS.index("random")).alias("kind"),
+        (run["start"] + F.length(run["token"])).alias("end")))
     return F.filter(found, lambda span: ~F.exists(base, lambda one: (one["start"] < span["end"]) & (span["start"] < one["end"])))
 
 

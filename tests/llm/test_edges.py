@@ -107,6 +107,18 @@ def test_secrets_battery(spark):
     assert not got[41].secrets.all and not any(got[i].secrets.all for i in range(40))
 
 
+def test_secrets_beside_names(spark):
+    key = "tG7kQ2mZ9xLb4RwV8nYc3HsP6dJf1KaUq5"
+    aws = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzEXAMPLEKEY"
+    texts = [f"AWS_SECRET_ACCESS_KEY={key}", f"https://a.org/x?signature={key}&page=2", f"é 😀 SOME_LONGER_NAME_HERE={key}== end",
+             f"in blob_{key}/end here", f"export AWS_SECRET_ACCESS_KEY={aws}"]
+    texts += [prose(i, 60) + " internationalizationofthings some_long_name/of-things_here" for i in range(40)]
+    got = rows(secrets.scan(documents(spark, texts)))
+    found = [[texts[i][s.start:s.end] for s in got[i].secrets.all] for i in range(len(texts))]
+    assert found[:3] == [[key], [key], [key + "=="]] and found[4] == [aws]
+    assert found[3] == [f"blob_{key}", f"{key}/end"] and not any(found[5:])
+
+
 # ---- 3 --------------------------------------------------------------------------------------------
 
 def test_quality_edges(docs, none):
