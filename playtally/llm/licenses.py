@@ -6,6 +6,10 @@ that holds 75 % of a template then has a Jaccard similarity of at least 0.17 wit
 of one row collide with a probability of 1 - 0.83^64 > 0.99999. Collisions are only candidates: a
 match is a window that contains at least 75 % of the template's distinct five-word shingles.
 
+Notices resemble each other (versions of one license, a clause more). Of matches of different licenses on the same
+words the best one counts: one whose places all belong to another's falls if that one holds more places, or as many at a
+higher share of its template.
+
 A window's minimum can only equal a template's if the window holds that very shingle. So shingles are first tested
 against those of the templates (a set of bounded size) inside the scan, and minima are computed for windows
 around hits only; no window that could collide is left out. Texts without a hit, nearly all, leave
@@ -59,6 +63,74 @@ TEMPLATES = (
     ("unlicense", "This is free and unencumbered software released into the public domain."),
 )
 
+_FSF = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by "
+        "the Free Software Foundation, either version {} of the License, or (at your option) any later version.")
+_OLD_FSF = ("This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {} as published by "
+            "the Free Software Foundation; either version {} of the License, or (at your option) any later version.")
+_FSF_TEXT = ("GNU {} Version {} Copyright (C) {} Free Software Foundation, Inc. {}Everyone is permitted to copy and distribute "
+             "verbatim copies of this license document, but changing it is not allowed.")
+_FSF_STREET = "51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA "
+_BSD_2 = dict(TEMPLATES)["bsd-2-clause"]
+#: Further notices, lines and heads of long texts; a license can have several. The SQL below covers only TEMPLATES.
+MORE_TEMPLATES = (
+    ("mit-line", "Licensed under the MIT License."),
+    ("mit-line", "Distributed under the MIT License."),
+    ("mit-line", "This project is licensed under the MIT License."),
+    ("bsd-2-clause-line", "Licensed under the BSD 2-Clause License."),
+    ("bsd-3-clause-line", "Licensed under the BSD 3-Clause License."),
+    ("mpl-2.0-line", "Licensed under the Mozilla Public License, Version 2.0."),
+    ("gpl-2.0-line", "This work is licensed under the GNU General Public License, version 2."),
+    ("lgpl-2.1-line", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("lgpl-3.0-line", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("agpl-3.0-line", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("epl-2.0-line", "Licensed under the Eclipse Public License, Version 2.0."),
+    ("cc-by-sa-4.0-line", "Licensed under CC BY-SA 4.0."),
+    ("cc-by-nd-4.0-line", "Licensed under CC BY-ND 4.0."),
+    ("cc-by-nc-sa-4.0-line", "Licensed under CC BY-NC-SA 4.0."),
+    ("cc-by-nc-nd-4.0-line", "Licensed under CC BY-NC-ND 4.0."),
+    ("cc-by-sa-3.0-line", "Licensed under CC BY-SA 3.0."),
+    ("cc-by-3.0-line", "This work is licensed under a Creative Commons Attribution 3.0 Unported License."),
+    ("cc-by-sa-3.0-line", "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License."),
+    ("cc-by-sa-4.0-line", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("cc-by-nd-4.0-line", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("cc-by-nc-4.0-line", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("cc-by-nc-sa-4.0-line", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International "
+                             "License."),
+    ("cc-by-nc-nd-4.0-line", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 "
+                             "International License."),
+    ("cc0-1.0-line", "Licensed under CC0 1.0 Universal."),
+    ("cc0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this "
+                "work."),
+    ("cc0-1.0", "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to "
+                "this software to the public domain worldwide. This software is distributed without any warranty."),
+    ("bsd-3-clause", _BSD_2 + " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+                     "promote products derived from this software without specific prior written permission."),
+    ("gpl-2.0", _FSF.format("General Public License", "2")),
+    ("gpl-2.0", _OLD_FSF.format("program", "General Public License", "2")),
+    ("gpl-3.0", _OLD_FSF.format("program", "General Public License", "3")),
+    ("lgpl-2.1", _OLD_FSF.format("library", "Lesser General Public License", "2.1")),
+    ("lgpl-2.1", _FSF.format("Lesser General Public License", "2.1")),
+    ("lgpl-3.0", _OLD_FSF.format("library", "Lesser General Public License", "3")),
+    ("lgpl-3.0", _FSF.format("Lesser General Public License", "3")),
+    ("agpl-3.0", _FSF.format("Affero General Public License", "3")),
+    ("gpl-2.0", _FSF_TEXT.format("GENERAL PUBLIC LICENSE", "2, June 1991", "1989, 1991", _FSF_STREET)),
+    ("gpl-3.0", _FSF_TEXT.format("GENERAL PUBLIC LICENSE", "3, 29 June 2007", "2007", "")),
+    ("lgpl-2.1", _FSF_TEXT.format("LESSER GENERAL PUBLIC LICENSE", "2.1, February 1999", "1991, 1999", _FSF_STREET)),
+    ("lgpl-3.0", _FSF_TEXT.format("LESSER GENERAL PUBLIC LICENSE", "3, 29 June 2007", "2007", "")),
+    ("agpl-3.0", _FSF_TEXT.format("AFFERO GENERAL PUBLIC LICENSE", "3, 19 November 2007", "2007", "")),
+    ("apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, "
+                   "AND DISTRIBUTION"),
+    ("epl-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which "
+                "is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable "
+             "for any damages arising from the use of this software. Permission is granted to anyone to use this software for any "
+             "purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following "
+             "restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original "
+             "software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but "
+             "is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the "
+             "original software. 3. This notice may not be removed or altered from any source distribution."),
+)
+
 
 def shingles(text: Column) -> Column:
     """Hashes of the five-word shingles of a text, by place."""
@@ -84,7 +156,7 @@ def width_of(size: Column) -> Column:
     return (2 * F.pow(F.lit(2.0), F.ceil(F.log2(size.cast("double"))))).cast("int")
 
 
-def template_table(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
+def template_table(spark: SparkSession, templates=TEMPLATES + MORE_TEMPLATES) -> DataFrame:
     rows = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(text).alias("text")) for name, text in templates])
     return spark.range(1).select(F.explode(rows).alias("row")).select("row.*")
 
@@ -116,10 +188,32 @@ def matches(docs: DataFrame, templates: DataFrame) -> DataFrame:
         "key", "w.start", "w.width", F.expr("slice(grams, w.start + 1, w.width)").alias("window"))
     posted = windows.withColumn("band", F.explode(bands(F.col("window"))))
     shared = known.select("license", F.col("grams").alias("template"), "width", F.explode("bands").alias("band"))
-    found = posted.join(F.broadcast(shared), ["width", "band"]).dropDuplicates(["key", "start", "width", "license"])
-    common = F.size(F.array_intersect("window", "template"))
-    return found.where(100 * common >= CONTAINED_PERCENT * F.size("template")).groupBy("key", "license").agg(
-        F.count(F.lit(1)).alias("windows"))
+    found = posted.join(F.broadcast(shared), ["width", "band"]).dropDuplicates(["key", "start", "width", "license", "template"])
+    found = found.withColumn("held", F.size(F.array_intersect("window", "template")))
+    places = F.filter(F.sequence(F.lit(0), F.size("window") - 1), lambda i: F.array_contains("template", F.get("window", i)))
+    found = cut(found.where(100 * F.col("held") >= CONTAINED_PERCENT * F.size("template")).select(
+        "key", "license", "start", "width", (F.col("held") / F.size("template")).alias("share"),
+        F.transform(places, lambda i: i + F.col("start")).alias("places")))
+    return best(found, max(sizes["widths"])).groupBy("key", "license").agg(
+        F.count_distinct("start", "width").alias("windows"))
+
+
+def best(found: DataFrame, widest: int) -> DataFrame:
+    """The matches but those whose places all belong to a better match of another license, one that is not so itself."""
+    marked = cut(_beaten(found, found, widest))
+    return _beaten(found, marked.where("not beaten").drop("beaten"), widest).where("not beaten")
+
+
+def _beaten(found: DataFrame, rivals: DataFrame, widest: int) -> DataFrame:
+    """`found` with a column `beaten`. A rival that holds all places of a match holds its first; it spans two blocks at most."""
+    ends = F.array(F.element_at("places", 1), F.element_at("places", -1))
+    rival = rivals.select(*[F.col(name).alias(f"r_{name}") for name in ("license", "share", "places")], "key", F.explode(
+        F.array_distinct(F.transform(ends, lambda at: F.floor(at / widest)))).alias("block"))
+    better = (F.col("license") != F.col("r_license")) & (F.size(F.array_except("places", "r_places")) == 0) & (
+        (F.size("r_places") > F.size("places")) | (F.col("r_share") > F.col("share")))
+    return found.withColumn("block", F.floor(F.element_at("places", 1) / widest)).join(
+        rival, ["key", "block"], "left").groupBy("key", "license", "start", "width", "share", "places").agg(
+        F.max(F.coalesce(better, F.lit(False))).alias("beaten"))
 
 
 def _windows(half: int):

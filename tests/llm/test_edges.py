@@ -352,6 +352,24 @@ def test_licenses(spark, none):
     assert not any(row.n_licenses for row in licenses.scan(documents(spark, texts), bare).collect())
 
 
+def test_licenses_like_each_other(spark):
+    names = dict(licenses.TEMPLATES)
+    clause = (" Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+              "derived from this software without specific prior written permission.")
+    expected = [
+        (names["gpl-3.0"], "gpl-3.0"), (names["gpl-3.0"].replace("version 3", "version 2"), "gpl-2.0"),
+        (names["gpl-3.0"].replace("GNU", "GNU Affero"), "agpl-3.0"), (names["gpl-3.0"].replace("GNU", "GNU Lesser"), "lgpl-3.0"),
+        (names["gpl-3.0-line"], "gpl-3.0-line"), (names["gpl-3.0-line"].replace("3", "2"), "gpl-2.0-line"),
+        (names["bsd-2-clause"], "bsd-2-clause"), (names["bsd-2-clause"] + clause, "bsd-3-clause"),
+        ("Licensed under the MIT License", "mit-line"), ("Licensed under CC BY-SA 4.0.", "cc-by-sa-4.0-line"),
+        (names["gpl-3.0"] + " " + prose(5, 300) + " " + names["gpl-3.0"].replace("version 3", "version 2"), "gpl-2.0,gpl-3.0"),
+        (names["apache-2.0-line"], "apache-2.0-line"), (names["apache-2.0"], "apache-2.0")]
+    expected += [(text, name) for name, text in licenses.MORE_TEMPLATES]
+    texts = [f"{prose(i, 70)} {text} {prose(99 + i, 70)}" for i, (text, _) in enumerate(expected)]
+    got = rows(licenses.scan(documents(spark, texts), licenses.template_table(spark)))
+    assert {i: (got[i].licenses, name) for i, (_, name) in enumerate(expected) if got[i].licenses != name} == {}
+
+
 # ---- 10 -------------------------------------------------------------------------------------------
 
 PII_TEXTS = [
