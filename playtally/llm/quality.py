@@ -2,7 +2,8 @@
 
 Line rules, each on its own: navigation (menu separators make up a third of the words), punctuation
 (symbols make up over a tenth of the characters in words, or a fragment of under five words with no sentence mark)
-and boilerplate (a stock phrase). A document whose remaining lines hold less than half of its words is
+and boilerplate (stock phrases make up a fifth of the words; the SQL below lets one phrase fail a line of any length,
+which is the same on lines of up to ten words). A document whose remaining lines hold less than half of its words is
 rejected, as is one that fails the base rules (under 20 words, or over 30 % of them in repeated windows).
 
 One narrow pass, no shuffle; counts of a block of texts are sums between offsets, so a text of any
@@ -25,6 +26,7 @@ from playtally.llm.blocks import (
 
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 MIN_FRAGMENT_WORDS, MAX_SYMBOL_PERCENT, MIN_KEPT_PERCENT, SEPARATOR_SHARE = 5, 10, 50, 3
+PHRASE_SHARE = 5
 SYMBOLS, SEPARATORS, SENTENCE_MARKS = b"#*$%&|<>", b"|>", b".!?:;"
 #: Stock phrases of navigation bars, consent notices and footers.
 PHRASES = (
@@ -92,7 +94,11 @@ def measure(data: bytes, offsets: np.ndarray) -> tuple[dict[str, np.ndarray], li
     failed |= 100 * _between(byte_table(SYMBOLS)[codes], line_starts, line_ends) > MAX_SYMBOL_PERCENT * in_words
     marked = (_between(byte_table(SENTENCE_MARKS)[codes], line_starts, line_ends) > 0) | holds(_WIDE_MARK)
     failed |= ~marked & (per_line < MIN_FRAGMENT_WORDS)
-    failed |= holds(_PHRASE)
+    stock = [(match.start(), match[0].count(b" ") + 1) for match in _PHRASE.finditer(data)]
+    if stock:
+        places, sizes = np.array(stock).T
+        on = np.searchsorted(line_starts, places, "right") - 1
+        failed |= PHRASE_SHARE * np.bincount(on, sizes, minlength=len(failed)) >= np.maximum(per_line, 1)
     out["n_removed_lines"] = np.bincount(line_owner[failed], minlength=n)
     out["n_kept_words"] = np.bincount(line_owner[~failed], per_line[~failed], minlength=n).astype(np.int64)
     cleaned = [data[a:b] for a, b in zip(begin, end)]

@@ -144,6 +144,14 @@ def test_quality_lines(spark):
     assert not row[1].quality.kept
 
 
+def test_quality_phrase_in_running_text(spark):
+    long_line = f"{prose(5, 60)} Then we read more about it and click here was all it said. {prose(6, 60)}"
+    notice = "By using this site you accept cookies and agree to our privacy policy and terms of use."
+    row = quality.judge(documents(spark, [long_line, f"{long_line}\n{notice}\nclick here to read more of it, and so on now"])).collect()
+    assert row[0].quality.kept and row[0].quality.cleaned == long_line and row[0].quality.n_removed_lines == 0
+    assert row[1].quality.kept and row[1].quality.cleaned == long_line + "\n" and row[1].quality.n_removed_lines == 2
+
+
 # ---- 4 --------------------------------------------------------------------------------------------
 
 def test_pieces_n_best_is_exact():
