@@ -230,7 +230,8 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _grouped(docs: DataFrame) -> DataFrame:
-    """One row per row of `docs`: doc_id, text_key (64 bits of the text's hash), n_shingles, component_id, kept."""
+    """One row per row of `docs`: doc_id, text_key (64 bits of the text's hash), n_shingles, component_id, kept,
+    label (of the group; null without words)."""
     signed = F.pandas_udf(_signed, "n bigint, name bigint, check bigint, posts array<int>")
     base = cut(docs.select("doc_id", F.xxhash64("text").alias("text_key"), signed("text").alias("s"))
                .select("doc_id", "text_key", "s.*"))
@@ -255,28 +256,29 @@ def _grouped(docs: DataFrame) -> DataFrame:
     named = classes.select("name", "check", "first_id").join(labels, "name", "left").withColumn(
         "label", F.coalesce("label", "name"))
     least = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    found = named.join(least, "label").select("name", "check", "component_id")
+    found = named.join(least, "label").select("name", "check", "component_id", "label")
     return base.select("doc_id", "text_key", "n", "name", "check").join(found, ["name", "check"], "left").select(
         "doc_id", "text_key", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")).withColumn(
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "label").withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def group(docs: DataFrame) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_shingles, component_id, kept."""
-    return _grouped(docs).drop("text_key")
+    """One row per row of `docs`: doc_id, n_shingles, component_id, kept. A group is named by its least doc_id, so `kept` holds
+    for every row of the group with that id, and for all rows of a group without ids; `first_of_each` takes one of them."""
+    return _grouped(docs).drop("text_key", "label")
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that stand for their groups: one of each, and all without words."""
     kept = _grouped(docs).where("kept").groupBy("doc_id", "text_key").agg(
-        F.count(F.lit(1)).alias("times"), F.max("n_shingles").alias("n"))
+        F.count(F.lit(1)).alias("times"), F.max("n_shingles").alias("n"), F.max("label").alias("label"))
     kept = cut(kept.select(*[F.col(name).alias(f"__{name}") for name in kept.columns]))
     rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.xxhash64("text") == F.col("__text_key")))
-    again = kept.where("__n > 0").groupBy("__doc_id").agg(F.sum("__times").alias("rows")).where("rows > 1")
+    again = kept.where("__n > 0").groupBy("__label").agg(F.sum("__times").alias("rows")).where("rows > 1")
     if not again.isEmpty():
-        # Rows that share a doc_id: one of them stays.
-        rows = rows.where("__n = 0").unionByName(rows.where("__n > 0").dropDuplicates(["doc_id"]))
+        # Rows of one group that share a doc_id or have none: one of them stays.
+        rows = rows.where("__n = 0").unionByName(rows.where("__n > 0").dropDuplicates(["__label"]))
     return rows.select(docs.columns)
 
 

@@ -229,6 +229,14 @@ def test_first_of_each_keeps_one_row(spark):
     assert sorted((row.doc_id, row.text or "") for row in left) == [(1, text + " x"), (5, ""), (5, ""), (7, prose(4, 90))]
 
 
+def test_first_of_each_keeps_unlike_texts(spark):
+    texts = [prose(i, 90) for i in range(5)]
+    frame = spark.createDataFrame([(None, texts[0]), (None, texts[0] + " x"), (None, texts[1]), (9, texts[2]), (9, texts[3]),
+                                   (8, texts[4]), (8, texts[4] + " x")], "doc_id bigint, text string")
+    left = [(row.doc_id, row.text.removesuffix(" x")) for row in neardup.first_of_each(frame.selectExpr("*", "1 as label")).collect()]
+    assert sorted(left, key=str) == sorted([(None, texts[0]), (None, texts[1]), (9, texts[2]), (9, texts[3]), (8, texts[4])], key=str)
+
+
 # ---- 6 --------------------------------------------------------------------------------------------
 
 def python_repeats(texts):
