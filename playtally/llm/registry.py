@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import corpus_pipeline
-from playtally.llm import alignment, chat, decontaminate, language, licenses, neardup, pieces, pii, quality, repeats, secrets
+from playtally.llm import alignment, chat, decontaminate, kernel_quality, language, licenses, neardup, pieces, pii, quality, repeats, secrets
 
 
 def queries() -> dict[str, Callable]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable]:
         "op9_license_scan": licenses.license_scan,
         "op10_pii": pii.pii,
         "op12_cross_tokenizer_alignment": alignment.cross_tokenizer_alignment,
+        "op13_quality_classifier": kernel_quality.quality_classifier,
         "pipeline": corpus_pipeline.run,
     }
 
