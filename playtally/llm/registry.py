@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import corpus_pipeline
-from playtally.llm import alignment, chat, decontaminate, kernel_quality, language, licenses, neardup, pieces, pii, quality, repeats, secrets
+from playtally.llm import alignment, chat, decontaminate, kernel_quality, language, licenses, neardup, pieces, pii, prefix_trie, quality, repeats, secrets
 
 
 def queries() -> dict[str, Callable]:
@@ -20,6 +20,7 @@ def queries() -> dict[str, Callable]:
         "op8_language_id": language.language_id,
         "op9_license_scan": licenses.license_scan,
         "op10_pii": pii.pii,
+        "op11_prefix_trie": prefix_trie.conversation_trie,
         "op12_cross_tokenizer_alignment": alignment.cross_tokenizer_alignment,
         "op13_quality_classifier": kernel_quality.quality_classifier,
         "pipeline": corpus_pipeline.run,
@@ -33,4 +34,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_minhash_neardup": neardup.SQL,
         "op7_decontaminate": decontaminate.SQL,
         "op9_license_scan": licenses.SQL,
+        "op11_prefix_trie": prefix_trie.SQL,
     }

@@ -7,7 +7,7 @@ from tests.llm.helpers import assert_matches
 
 
 def test_names():
-    assert [name.split("_")[0] for name in registry.queries()] == [*(f"op{n}" for n in range(1, 11)), "pipeline"]
+    assert [name.split("_")[0] for name in registry.queries()] == [*(f"op{n}" for n in range(1, 14)), "pipeline"]
     assert set(registry.oracle_sql()) < set(registry.queries())
 
 
