@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from typing import NamedTuple
+from uuid import uuid4
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -81,3 +83,46 @@ def first_line(spark: SparkSession, path: str) -> str | None:
         return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
     finally:
         stream.close()
+
+
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """What lies directly in a folder; nothing where there is none."""
+    system, place = _system(spark, folder)
+    if not system.exists(place):
+        return []
+    return sorted(status.getPath().getName() for status in system.listStatus(place))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file of names and numbers."""
+    system, place = _system(spark, path)
+    stream = system.open(place)
+    try:
+        return spark._jvm.org.apache.hadoop.shaded.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file whole or not at all; false where its name is taken. The name appears by a rename that
+    replaces nothing, so a reader never sees a part and of two writers one wins."""
+    jvm = spark._jvm
+    system, place = _system(spark, path)
+    if system.exists(place):
+        return False
+    waiting = jvm.org.apache.hadoop.fs.Path(place.getParent(), f".{uuid4().hex}.tmp")
+    stream = system.create(waiting, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(place.toUri(), spark._jsc.hadoopConfiguration())
+    plain = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(waiting, place, plain)
+    except Py4JJavaError as error:
+        system.delete(waiting, False)
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
