@@ -5,18 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 from importlib import import_module
-from importlib.util import find_spec
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playtally import schemas
 from playtally.functions import parsing
 from playtally.functions.durable import durable
 from playtally.operators import enrich, kpis, quality, serving
 from playtally.operators.merging import merge_latest
-from playtally.plans import bindings
+from playtally.plans import bindings, state
 from playtally.plans.daily import daily_kpis
+from playtally.sources import event_archive, published
 from playtally.sources.inputs import type_events
+from playtally.sources.manifest import Store
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 LOADED = datetime(2024, 2, 1, tzinfo=timezone.utc)
@@ -116,18 +119,69 @@ def _merged_top_items(spark: SparkSession, d: str) -> DataFrame:
     return merge_latest(first, second, ("record_type", "date"))
 
 
+def _stores(spark: SparkSession) -> str:
+    """A new folder on the storage that all executors share."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
+    return f"{shared}/store-{uuid4().hex}"
+
+
+def _arrived(spark: SparkSession, d: str) -> tuple[Store, state.References]:
+    """An archive that every event reached in the end: in four batches, among them a file whose first version had all its plays
+    a day late, and one that is withdrawn."""
+    root = _stores(spark)
+    store, checkpoints = Store(f"{root}/events"), f"{root}/_checkpoints"
+    refs = state.References.of(bindings.songs(spark, d), bindings.users(spark, d), "1")
+    files, late = bindings.event_files(spark, d), bindings.event_files(spark, d, 1)
+    named = lambda df, *kinds: df.where(F.col("file_name").isin([f"{kind}.csv" for kind in kinds]))
+    trial = named(late, "purchase").withColumn("file_name", F.lit("trial.csv"))
+    for batch, names in (
+            (named(files, "view", "error").unionByName(named(late, "click")).unionByName(trial), ["view.csv", "error.csv", "click.csv", "trial.csv"]),
+            (named(files, "click"), ["click.csv"]),
+            (named(files, "signup"), ["signup.csv", "trial.csv"]),
+            (named(files, "purchase"), ["purchase.csv"])):
+        state.take_in(spark, store, batch, names, refs, checkpoints)
+    return store, refs
+
+
+def _arrived_kpis(spark: SparkSession, d: str) -> DataFrame:
+    store, refs = _arrived(spark, d)
+    return state.state_kpis(spark, store, refs)
+
+
+def _arrived_events(spark: SparkSession, d: str) -> DataFrame:
+    store, _ = _arrived(spark, d)
+    return event_archive.read_archived(spark, store, store.snapshot(spark), None).select("user_id", "track_id", "listen_time", "file_name")
+
+
+def _published(spark: SparkSession, d: str) -> Store:
+    """Two loads of the serving store: all events, and all events a day later, which replace the items of shared keys."""
+    root = _stores(spark)
+    store = Store(f"{root}/serving")
+    for days, loaded in ((0, LOADED), (1, RELOADED)):
+        kpi_rows = durable(_daily(spark, d, bindings.event_files(spark, d, days).drop("file_name")), f"{root}/_checkpoints")
+        published.publish_items(spark, store, serving.kpi_items(kpi_rows, loaded), serving.top_genre_items(kpis.top_genres(kpi_rows), loaded),
+                                loaded, f"{root}/_checkpoints")
+    return store
+
+
+def _published_expired(spark: SparkSession, d: str) -> DataFrame:
+    store = _published(spark, d)
+    snapshot, _ = published.expire(spark, store, READ)
+    return store.read(spark, snapshot, published.BY_GENRE, schemas.KPI_ITEMS)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """All KPIs of each genre and day over the large stream."""
     return _lineitem_kpis(spark, FLAGSHIP_DIR)
 
 
 def _training_data(what: str) -> dict:
-    """Queries or SQL of the training-data operators, nothing where their folders were taken out."""
+    """Queries or SQL of the training-data operators, nothing where they cannot be imported."""
     try:
-        present = find_spec("playtally.llm.registry") and find_spec("corpus_pipeline")
-    except ModuleNotFoundError:
+        registry = import_module("playtally.llm.registry")
+    except ImportError:
         return {}
-    return getattr(import_module("playtally.llm.registry"), what)() if present else {}
+    return getattr(registry, what)()
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -190,6 +244,11 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lookup_snapshot": lambda s, d: serving.snapshot(_event_top_items(s, d, DAY), DAY),
         "lookup_date_range": lambda s, d: _shown(serving.between(
             _looked_up(s, d, FIRST_DAY, LAST_DAY), GENRE, FIRST_DAY, LAST_DAY)),
+        "state_kpis": _arrived_kpis,
+        "archive_merged_on_read": lambda s, d: _shown(_arrived_events(s, d)),
+        "published_trend": lambda s, d: _shown(published.between(s, _published(s, d), GENRE, RELOADED)),
+        "published_top5": lambda s, d: _shown(published.top_on(s, _published(s, d), DAY, RELOADED)),
+        "published_expired": lambda s, d: _shown(_published_expired(s, d)),
     }
 
 
@@ -373,6 +432,12 @@ def own_sql() -> dict[str, str]:
 merged_top as (
   select * from top_items_2 union all
   select * from top_items a where not exists (select 1 from top_items_2 b where a.date = b.date))""")
+    two_days = _with(
+        _SONGS, _USERS, _EVENTS, _enriched_sql(), _kpi_sql(), _items_sql(),
+        _EVENTS.replace("streams as", "streams_2 as").replace("ts as listen_time", "ts + interval 1 day as listen_time"),
+        _enriched_sql("_2"), _kpi_sql("_2"), _items_sql("_2", RELOADED), """merged as (
+  select * from items_2 union all
+  select * from items a where not exists (select 1 from items_2 b where a.genre = b.genre and a.date = b.date))""")
     coverage = (_unknown_sql("user", "user_id", "users"), _unknown_sql("track", "track_id", "songs"))
     return {
         "typed_parse": _with(_DIRTY) + """select cast(try_cast(user_id as integer) as varchar) as user_id, track_id,
@@ -433,4 +498,10 @@ order by listen_count desc, genre limit 5""",
   genre_listen_count as listen_count from top_genres where listen_date = '{DAY}'""",
         "lookup_date_range": event_items + f"""select * from items
 where genre = '{GENRE}' and date between '{FIRST_DAY}' and '{LAST_DAY}'""",
+        "state_kpis": event_kpis + "select * from kpis",
+        "archive_merged_on_read": f"""select {user}, lpad(props->>'$.k', 12, '0') as track_id,
+  strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as listen_time, event_type || '.csv' as file_name from events""",
+        "published_trend": two_days + f"select * from merged where genre = '{GENRE}' order by date",
+        "published_top5": two_days + f"select * from merged where date = '{DAY}' order by listen_count desc, genre limit 5",
+        "published_expired": two_days + f"select * from merged where ttl_expiry > {int(READ.timestamp())}",
     }

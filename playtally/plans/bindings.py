@@ -73,6 +73,16 @@ def event_streams(spark: SparkSession, sf_dir: str, first: str | None = None, la
     )
 
 
+def event_files(spark: SparkSession, sf_dir: str, days_later: int = 0) -> DataFrame:
+    """The 30-day stream as files, one for each type of event, with the file's name; `days_later` moves all plays."""
+    return table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("int").alias("user_id"),
+        _padded(F.get_json_object("props", "$.k")).alias("track_id"),
+        (F.col("ts") + F.make_interval(days=F.lit(days_later))).cast("timestamp").alias("listen_time"),
+        F.concat("event_type", F.lit(".csv")).alias("file_name"),
+    )
+
+
 def _text(columns: DataFrame) -> DataFrame:
     return columns.select(
         F.col("user_id").cast("string").alias("user_id"),

@@ -34,14 +34,14 @@ def repeated_users(users: DataFrame) -> DataFrame:
     )
 
 
-def _with_copies(plays: DataFrame, repeated: DataFrame, repeated_bytes: int) -> DataFrame:
+def with_copies(plays: DataFrame, repeated: DataFrame, repeated_bytes: int) -> DataFrame:
     if repeated_bytes == 0:
         return plays.withColumn("copies", F.lit(1).cast("bigint"))
     joined = left_join_reference(plays, repeated, "user_id", fits_broadcast(repeated_bytes))
     return joined.withColumn("copies", F.coalesce("copies", F.lit(1).cast("bigint")))
 
 
-def _user_grain(plays: DataFrame, songs: DataFrame, broadcast: bool, watch: _Watch) -> DataFrame:
+def user_grain(plays: DataFrame, songs: DataFrame, broadcast: bool, watch: _Watch) -> DataFrame:
     by_track = watch("songs", songs.select("track_id", "track_genre", "duration_ms"))
     joined = watch("enriched", left_join_reference(plays, by_track, "track_id", broadcast))
     return joined.groupBy("user_id", genre_or_unknown().alias("track_genre"), "listen_date").agg(
@@ -50,10 +50,13 @@ def _user_grain(plays: DataFrame, songs: DataFrame, broadcast: bool, watch: _Wat
     )
 
 
-def _song_plays(plays: DataFrame, songs: DataFrame, broadcast: bool) -> DataFrame:
+def track_days(plays: DataFrame) -> DataFrame:
+    return plays.groupBy("track_id", "listen_date").agg(F.sum("copies").alias("plays"))
+
+
+def titled_plays(track_days: DataFrame, songs: DataFrame, broadcast: bool) -> DataFrame:
     """Plays per genre, day and song. Equal listings of a track are merged beforehand, so the joined rows
     are already one per group."""
-    track_days = plays.groupBy("track_id", "listen_date").agg(F.sum("copies").alias("plays"))
     titles = songs.groupBy("track_id", genre_or_unknown().alias("track_genre"), "track_name").agg(
         F.count(F.lit(1)).alias("listings"))
     joined = left_join_reference(track_days, titles, "track_id", broadcast, salts=1)
@@ -80,10 +83,10 @@ def daily_kpis(events: DataFrame, songs: DataFrame, users: DataFrame,
     def by_day(plays: DataFrame) -> DataFrame:
         # The time stays only to spread a hot (track, user, day) over the salts of the song join.
         dated = plays.select("user_id", "track_id", F.to_date("listen_time").alias("listen_date"), "listen_time")
-        return _with_copies(dated, repeated, repeated_bytes)
+        return with_copies(dated, repeated, repeated_bytes)
 
     # Only one branch is watched; the shuffle below stays common to both.
-    grain = _user_grain(by_day(watch("streams", deduplicated)), songs, broadcast, watch)
-    plays = _song_plays(by_day(deduplicated), songs, broadcast)
+    grain = user_grain(by_day(watch("streams", deduplicated)), songs, broadcast, watch)
+    plays = titled_plays(track_days(by_day(deduplicated)), songs, broadcast)
     merged = kpis.merge_kpis(kpis.genre_metrics(grain), kpis.top_songs_json(kpis.top_songs(plays)))
     return merged.withColumn("listen_date", parsing.listen_date(F.col("listen_date")))

@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 
 from playtally import schemas
 from playtally.functions.clock import iso_text
-from playtally.functions.counts import StageCounts
 from playtally.functions.durable import durable
 from playtally.operators import serving
 from playtally.operators.kpis import top_genres
 from playtally.plans.daily import daily_kpis
+from playtally.sources import published
 from playtally.sources.event_archive import read_events
-from playtally.sources.keyed import upsert
+from playtally.sources.manifest import Store
 from playtally.sources.tables import read_kpis, read_table, read_top_genres, write_by_date
 
 log = logging.getLogger(__name__)
@@ -55,6 +55,18 @@ class Layout:
     def ledger(self) -> str:
         return f"{self.root}/ledger"
 
+    @property
+    def event_store(self) -> Store:
+        return Store(self.events)
+
+    @property
+    def references(self) -> Store:
+        return Store(f"{self.root}/references")
+
+    @property
+    def serving(self) -> Store:
+        return Store(f"{self.root}/serving/published")
+
     @property
     def kpi_items(self) -> str:
         return f"{self.root}/serving/kpis"
@@ -101,29 +113,36 @@ def recompute_dates(spark: SparkSession, layout: Layout, songs: DataFrame, users
 
 
 def load_serving(spark: SparkSession, layout: Layout, now: datetime, ttl_days: int = schemas.TTL_DAYS,
-                 dates: Iterable[str] | None = None, fmt: str = "parquet") -> DataFrame:
-    """Put the archived KPIs into the serving tables and return the one-row load report.
+                 dates: Iterable[str] | None = None, fmt: str = "parquet", replaced: Iterable[str] = ()) -> DataFrame:
+    """Put the archived KPIs into the serving store, in one step, and return the one-row load report.
 
-    Without `dates` every archived date is loaded again, which also renews its expiry.
+    Without `dates` every archived date is loaded again, which also renews its expiry. Dates in `replaced` then hold what
+    the archive holds and nothing else; on other dates genres that the archive lacks stay.
     """
     kpis = read_kpis(spark, layout.archive("genre_kpis", fmt), dates, fmt)
     top = read_top_genres(spark, layout.archive("top_genres", fmt), dates, fmt)
-    loaded = kpis.agg(F.array_sort(F.collect_set("listen_date")).alias("dates")).first()["dates"]
-    if not loaded:
+    found = kpis.agg(F.array_sort(F.collect_set("listen_date")).alias("dates"), F.count(F.lit(1)).alias("items")).first()
+    loaded, replaced = found["dates"], [*replaced]
+    if not loaded and not replaced:
         raise NoDatesError(f"no date partitions under {layout.archive('genre_kpis', fmt)}")
-    counts = StageCounts()
-    upsert(counts.watch("kpi_items", serving.kpi_items(kpis, now, ttl_days)),
-           layout.kpi_items, schemas.KPI_ITEMS, schemas.KPI_KEY, now, layout.checkpoints)
-    upsert(counts.watch("top_genre_items", serving.top_genre_items(top, now, ttl_days)),
-           layout.top_genre_items, schemas.TOP_GENRE_ITEMS, schemas.TOP_GENRE_KEY, now, layout.checkpoints)
-    report = (schemas.SUCCEEDED, counts.rows("kpi_items"), counts.rows("top_genre_items"), loaded, iso_text(now))
-    return spark.createDataFrame([report], schemas.LOAD_REPORT)
+    published.publish_items(spark, layout.serving, serving.kpi_items(kpis, now, ttl_days), serving.top_genre_items(top, now, ttl_days),
+                            now, layout.checkpoints, replaced)
+    ranked = top.select("listen_date").distinct().count()
+    return spark.createDataFrame([(schemas.SUCCEEDED, found["items"], ranked, loaded, iso_text(now))], schemas.LOAD_REPORT)
+
+
+def _stored(spark: SparkSession, layout: Layout, now: datetime, table: str, plain: str) -> DataFrame:
+    """The published items; those of a plain keyed table where nothing was published yet."""
+    snapshot = layout.serving.snapshot(spark)
+    if snapshot.version:
+        return published.items(spark, layout.serving, now, snapshot, table)
+    return serving.live(read_table(spark, plain, published.SCHEMAS[table]), now)
 
 
 def stored_kpi_items(spark: SparkSession, layout: Layout, now: datetime) -> DataFrame:
-    """The unexpired KPI items, for the lookups of `operators.serving`."""
-    return serving.live(read_table(spark, layout.kpi_items, schemas.KPI_ITEMS), now)
+    """The unexpired KPI items, for the lookups of `operators.serving`; those of `sources.published` open fewer files."""
+    return _stored(spark, layout, now, published.KPI, layout.kpi_items)
 
 
 def stored_top_genre_items(spark: SparkSession, layout: Layout, now: datetime) -> DataFrame:
-    return serving.live(read_table(spark, layout.top_genre_items, schemas.TOP_GENRE_ITEMS), now)
+    return _stored(spark, layout, now, published.TOP, layout.top_genre_items)

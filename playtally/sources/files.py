@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from hashlib import sha256
 from typing import NamedTuple
 from uuid import uuid4
 
@@ -85,6 +86,18 @@ def first_line(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def fingerprint(spark: SparkSession, path: str) -> str | None:
+    """A digest of the names, times and lengths of a file or of all files below a folder; nothing where there is none."""
+    system, place = _system(spark, path)
+    if not system.exists(place):
+        return None
+    found, listed = [], system.listFiles(place, True)
+    while listed.hasNext():
+        status = listed.next()
+        found.append(f"{status.getPath()} {status.getModificationTime()} {status.getLen()}")
+    return sha256("\n".join(sorted(found)).encode()).hexdigest()
+
+
 def names(spark: SparkSession, folder: str) -> list[str]:
     """What lies directly in a folder; nothing where there is none."""
     system, place = _system(spark, folder)

@@ -84,6 +84,12 @@ def read_users(spark: SparkSession, path: str, multi_line: bool = True) -> DataF
     )
 
 
+def read_users_with_key(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """The user reference, and the text of each user_id as it stands there."""
+    return _read_reference(spark, path, multi_line).select(
+        parsing.parse_int(F.col("user_id")).alias("user_id"), "user_country", F.col("user_id").alias("user_key"))
+
+
 def read_reference_keys(spark: SparkSession, path: str, key: str, multi_line: bool = True) -> DataFrame:
     """The key column of a reference file as raw text, for validation."""
     return _read_reference(spark, path, multi_line).select(key)

@@ -9,7 +9,7 @@ from playtally.sources.files import Source
 from playtally.sources.tables import read_table
 
 SCHEMA = "path string, modified bigint, length bigint, outcome string, dates array<string>"
-DONE = "done"
+DONE, WITHDRAWN = "done", "withdrawn"
 
 
 def read_ledger(spark: SparkSession, root: str) -> DataFrame:
@@ -23,15 +23,26 @@ def append(spark: SparkSession, root: str, entries: list[tuple[Source, str, list
 
 
 def outcomes(spark: SparkSession, root: str, sources: list[Source]) -> dict[Source, str]:
-    """What came of those of `sources` that were taken before; a later entry of one version wins."""
+    """What came of those of `sources` that were taken before; a withdrawn version stays withdrawn."""
     if not sources:
         return {}
     listed = spark.createDataFrame([tuple(source) for source in sources], "path string, modified bigint, length bigint")
     known = read_ledger(spark, root).join(listed, ["path", "modified", "length"], "left_semi")
-    return {Source(row["path"], row["modified"], row["length"]): row["outcome"] for row in known.collect()}
+    found: dict[Source, str] = {}
+    for row in known.collect():
+        source = Source(row["path"], row["modified"], row["length"])
+        if found.get(source) != WITHDRAWN:
+            found[source] = row["outcome"]
+    return found
 
 
 def earlier_dates(spark: SparkSession, root: str, paths: list[str]) -> list[str]:
     """The dates that earlier versions of some files had plays on."""
     of_paths = read_ledger(spark, root).where(F.col("path").isin(paths))
     return of_paths.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("dates")))).alias("dates")).first()["dates"] or []
+
+
+def withdraw(spark: SparkSession, root: str, paths: list[str]) -> None:
+    """Record, in one file, that all versions of some paths taken so far were withdrawn."""
+    taken = read_ledger(spark, root).where(F.col("path").isin(paths)).select("path", "modified", "length").distinct()
+    append(spark, root, [(Source(*row), WITHDRAWN, []) for row in taken.collect()])

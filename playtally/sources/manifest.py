@@ -25,6 +25,10 @@ from playtally.sources import files
 LOAD = "load"
 
 
+def new_load() -> str:
+    return uuid4().hex
+
+
 class ConflictError(RuntimeError):
     """Another writer has published a version in the meantime."""
 
@@ -124,11 +128,12 @@ class Store:
     # ---- Writing
 
     def write(self, df: DataFrame, table: str, date: str | None = None, order: Iterable[str] = (),
-              statistics: Iterable[str] = ()) -> list[DataFile]:
-        """Store rows under a new load; nobody reads them until the files that this returns are published. With `date`
-        the files are split by that column, small dates share a task and large ones are split."""
+              statistics: Iterable[str] = (), load: str | None = None) -> list[DataFile]:
+        """Store rows under a new load (or one's own new id, for tables that belong together); nobody reads them until the
+        files that this returns are published. With `date` the files are split by that column, small dates share a task
+        and large ones are split."""
         spark, statistics = df.sparkSession, [*statistics]
-        place = f"{self._folder(table)}/{LOAD}={uuid4().hex}"
+        place = f"{self._folder(table)}/{LOAD}={load or new_load()}"
         if date is not None:
             df = df.hint("rebalance", F.col(date))
             order = [date, *[name for name in order if name != date]]

@@ -24,8 +24,9 @@ from playtally import schemas
 from playtally.functions.clock import iso_text, system_clock
 from playtally.operators.quality import file_verdicts
 from playtally.plans.daily import daily_kpis
-from playtally.plans.load import Layout, archive_kpis, load_serving, recompute_dates
-from playtally.sources import dead_letters, event_archive, files, inputs, ledger, reports
+from playtally.plans.load import Layout, archive_kpis, load_serving
+from playtally.plans.state import References, state_kpis, take_in
+from playtally.sources import dead_letters, event_archive, files, inputs, ledger, references, reports
 from playtally.sources.files import Source
 
 log = logging.getLogger(__name__)
@@ -56,8 +57,16 @@ def _literal(path: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
+def _references(spark: SparkSession, settings: Settings) -> references.ReferenceSnapshot:
+    return references.current(spark, settings.layout.references, settings.songs_path, settings.users_path, settings.multi_line_references)
+
+
 def _reference_keys(spark: SparkSession, settings: Settings) -> tuple[DataFrame | None, DataFrame | None]:
     """Track and user keys for validation, or nothing when the reference cannot be found."""
+    try:
+        return _references(spark, settings).keys
+    except AnalysisException as error:
+        log.warning("the reference cannot be parsed as a whole: %s", error)
     try:
         return (
             inputs.read_reference_keys(spark, settings.songs_path, "track_id", settings.multi_line_references),
@@ -82,7 +91,8 @@ def _read(spark: SparkSession, source: str, header: tuple, paths: list[str]) ->
     return raw.withColumn(_FILE, F.substring_index(F.col(_FILE), files.folder_prefix(spark, source), -1))
 
 
-def _verdicts(spark: SparkSession, raw: DataFrame | None, header: tuple, paths: list[str], settings: Settings) -> list[dict]:
+def _verdicts(spark: SparkSession, raw: DataFrame | None, header: tuple, paths: list[str], settings: Settings,
+              keys: tuple[DataFrame | None, DataFrame | None]) -> list[dict]:
     """The verdict on each file of a group, in one job; a file without rows gets one of zero counts."""
     now = settings.clock()
     missing = sorted(set(schemas.REQUIRED_COLUMNS) - set(header))
@@ -90,7 +100,7 @@ def _verdicts(spark: SparkSession, raw: DataFrame | None, header: tuple, paths:
         counts = {} if raw is None else {row[_FILE]: row["count"] for row in raw.groupBy(_FILE).count().collect()}
         return [{"status": schemas.FAILED, "input_key": path, "record_count": counts.get(path, 0),
                  "errors": [schemas.MISSING_COLUMNS_TEXT.format(missing)], "validated_at": iso_text(now)} for path in paths]
-    songs, users = _reference_keys(spark, settings)
+    songs, users = keys
     judged = file_verdicts(raw.drop(_EXTRA), songs, users, now, _FILE)
     extra = raw.groupBy(_FILE).agg(F.count_if(_EXTRA).alias("extra")).withColumnRenamed(_FILE, "input_key")
     found = {row["input_key"]: row.asDict() for row in judged.join(extra, "input_key").collect()}
@@ -119,11 +129,11 @@ def _to_dead_letter(spark: SparkSession, source: str, failed: dict[str, list[str
 
 
 def _store(spark: SparkSession, accepted: list[tuple[DataFrame, list[str]]], off_format: bool,
-           settings: Settings) -> tuple[dict[str, list[str]], list[str]]:
-    """Archive the plays of accepted files and the KPIs of the dates they touch; the dates by file, and all dates."""
+           settings: Settings) -> tuple[dict[str, list[str]], list[str], list[str]]:
+    """Archive the plays of accepted files and the KPIs of the dates they touch; the dates by file, the dates with new KPIs,
+    and those that hold nothing but what is archived now."""
     layout = settings.layout
-    songs = inputs.read_songs(spark, settings.songs_path, settings.multi_line_references)
-    users = inputs.read_users(spark, settings.users_path, settings.multi_line_references)
+    known = _references(spark, settings)
     raw = None
     for rows, paths in accepted:
         part = rows.where(F.col(_FILE).isin(paths)).select(*schemas.REQUIRED_COLUMNS, _FILE)
@@ -134,26 +144,44 @@ def _store(spark: SparkSession, accepted: list[tuple[DataFrame, list[str]]], off
         dead_letters.write_rejects(rejects, F.col(_FILE), layout.rejects)
     events = inputs.type_events(usable, _FILE)
     if not settings.accumulate:
-        dates = archive_kpis(daily_kpis(events.drop(_FILE), songs, users), layout, settings.json_export)
-        return dict.fromkeys(names, dates), dates
+        dates = archive_kpis(daily_kpis(events.drop(_FILE), known.songs, known.users), layout, settings.json_export)
+        return dict.fromkeys(names, dates), dates, []
+    return _accumulate(spark, events.withColumnRenamed(_FILE, "file_name"), names, known.for_kpis, settings)
+
+
+def _accumulate(spark: SparkSession, events: DataFrame, names: list[str], refs: References,
+                settings: Settings) -> tuple[dict[str, list[str]], list[str], list[str]]:
+    layout = settings.layout
     earlier = ledger.earlier_dates(spark, layout.ledger, names)
-    by_file, emptied = event_archive.archive_events(
-        events, F.col(_FILE), names, earlier, layout.events, layout.checkpoints)
-    for date in emptied:
-        for root, column in ((layout.events, "listen_date"), (layout.archive("genre_kpis"), "listen_date"),
-                             (layout.archive("top_genres"), "listen_date"), (layout.kpi_items, "date"), (layout.top_genre_items, "date")):
-            files.delete(spark, f"{root}/{column}={date}")
-    touched = sorted(({d for held in by_file.values() for d in held} | set(earlier)) - set(emptied))
-    return by_file, recompute_dates(spark, layout, songs, users, touched, settings.json_export) if touched else []
+    change = take_in(spark, layout.event_store, events, names, refs, layout.checkpoints, earlier)
+    for date in change.emptied:
+        for table in ("genre_kpis", "top_genres"):
+            for fmt in ("parquet", "json"):
+                files.delete(spark, f"{layout.archive(table, fmt)}/listen_date={date}")
+    if change.touched:
+        archive_kpis(state_kpis(spark, layout.event_store, refs, change.touched), layout, settings.json_export)
+    return change.by_file, change.touched, [*change.touched, *change.emptied]
+
+
+def withdraw(spark: SparkSession, paths: list[str], settings: Settings) -> list[str]:
+    """Take back what some files (paths below the source) have brought: their plays leave the archive, the KPIs and the
+    serving store; returns the dates that changed. The ledger notes it, so the same file versions are not taken again."""
+    empty = spark.createDataFrame([], event_archive.ARCHIVED).drop("listen_date")
+    _, dates, replaced = _accumulate(spark, empty, paths, _references(spark, settings).for_kpis, settings)
+    if replaced:
+        load_serving(spark, settings.layout, settings.clock(), settings.ttl_days, dates, replaced=replaced)
+    ledger.withdraw(spark, settings.layout.ledger, paths)
+    return replaced
 
 
 def process_batch(spark: SparkSession, source: str, batch: list[Source], settings: Settings) -> dict[str, str]:
     """Take some files through all stages; what came of each by path: "done", or the stage that it failed."""
     layout, staging = settings.layout, f"{settings.layout.checkpoints}/reports-{uuid4().hex}"
     verdicts, accepted, off_format = [], [], False
+    keys = _reference_keys(spark, settings)
     for header, paths in _by_header(spark, source, batch).items():
         raw = _read(spark, source, header, paths) if header else None
-        judged = _verdicts(spark, raw, header, paths, settings)
+        judged = _verdicts(spark, raw, header, paths, settings, keys)
         verdicts += judged
         passed = [verdict["input_key"] for verdict in judged if verdict["status"] == schemas.PASSED]
         off_format |= any(verdict.get("off_format_time") for verdict in judged if verdict["input_key"] in passed)
@@ -166,15 +194,15 @@ def process_batch(spark: SparkSession, source: str, batch: list[Source], setting
     outcome = dict.fromkeys(failed, VALIDATION) | dict.fromkeys(names, ledger.DONE)
     by_file: dict[str, list[str]] = {}
     try:
-        by_file, dates = _store(spark, accepted, off_format, settings) if accepted else ({}, [])
+        by_file, dates, replaced = _store(spark, accepted, off_format, settings) if accepted else ({}, [], [])
     except AnalysisException as error:
         # The reference is missing or lacks columns: these files cannot be computed. Anything else ends the run.
         log.exception("a batch failed in stage %s", TRANSFORM)
         _to_dead_letter(spark, source, {name: [f"{type(error).__name__}: {error}"] for name in names}, TRANSFORM, layout)
         outcome |= dict.fromkeys(names, TRANSFORM)
-        dates = []
-    if dates:
-        report = load_serving(spark, layout, settings.clock(), settings.ttl_days, dates)
+        dates = replaced = []
+    if dates or replaced:
+        report = load_serving(spark, layout, settings.clock(), settings.ttl_days, dates, replaced=replaced)
         reports.write_load_reports(spark, report, layout.root, names, staging)
     files.delete(spark, staging)
     ledger.append(spark, layout.ledger, [(file, outcome[file.path], by_file.get(file.path, [])) for file in batch])

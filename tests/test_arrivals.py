@@ -9,7 +9,7 @@ import pytest
 
 from playtally.operators import serving
 from playtally.plans.load import Layout, stored_kpi_items
-from playtally.sources import dead_letters, event_archive, ledger
+from playtally.sources import dead_letters, event_archive, inputs, ledger, references
 from playtally.streaming import arrivals
 from playtally.streaming.arrivals import Settings, run_arrivals
 
@@ -230,3 +230,67 @@ def test_jobs_do_not_grow_with_the_files_of_a_batch(deployment):
     few, many = jobs(3), jobs(30)
     # Ten times the files; adaptive execution may split a stage or two into jobs of their own.
     assert many <= few + 5, (few, many)
+
+
+def test_withdrawn_files_leave_archive_kpis_and_serving(deployment):
+    deployment.put("a.csv", play(), play(user=2, hour=11))
+    deployment.put("b.csv", play(), play(1, day=26))
+    deployment.run()
+    assert deployment.items() == [("pop", "2024-06-25", 2), ("rock", "2024-06-26", 1)]
+    assert arrivals.withdraw(deployment.spark, ["b.csv"], deployment.settings) == ["2024-06-25", "2024-06-26"]
+    # The play that both files hold stays.
+    assert deployment.items() == [("pop", "2024-06-25", 2)]
+    assert event_archive.read_events(deployment.spark, deployment.layout.events, ["2024-06-26"]).count() == 0
+    assert not list((deployment.out / "processed" / "genre_kpis").rglob("listen_date=2024-06-26"))
+    entries = ledger.read_ledger(deployment.spark, deployment.layout.ledger).where("path = 'b.csv'").collect()
+    assert {row.outcome for row in entries} == {"done", "withdrawn"}
+    assert arrivals.withdraw(deployment.spark, ["b.csv"], deployment.settings) == ["2024-06-25", "2024-06-26"]
+    assert deployment.items() == [("pop", "2024-06-25", 2)]
+
+
+def test_a_genre_that_a_new_version_lacks_is_gone(deployment):
+    deployment.put("a.csv", play(), play(1))
+    deployment.run()
+    deployment.put("a.csv", play(1, hour=12))
+    deployment.run()
+    assert deployment.items() == [("rock", "2024-06-25", 1)]
+
+
+def test_references_are_parsed_once_per_version(deployment, monkeypatch):
+    parsed = []
+    read = inputs._read_reference
+
+    def counted(spark, path, multi_line):
+        parsed.append(path)
+        return read(spark, path, multi_line)
+
+    monkeypatch.setattr(inputs, "_read_reference", counted)
+    deployment.put("one.csv", play())
+    deployment.put("two.csv", "2024-06-27 09:00:00,track000002,2,x", header="listen_time,track_id,user_id,extra")
+    deployment.run()
+    assert len(parsed) == 2  # two headers, two stages, one parse of songs and of users
+    deployment.put("three.csv", play(hour=20))
+    deployment.run()
+    assert len(parsed) == 2
+    songs = deployment.folder / "songs.csv"
+    songs.write_text(songs.read_text().replace("pop", "folk"))
+    os.utime(songs, (1, 1))
+    deployment.put("four.csv", play(user=2, hour=21))
+    deployment.run()
+    assert len(parsed) == 4
+    # The touched date is computed anew with the new version only; the other keeps what it had.
+    assert deployment.items() == [("folk", "2024-06-25", 3), ("jazz", "2024-06-27", 1)]
+
+
+def test_a_pinned_reference_does_not_change(deployment):
+    spark, store = deployment.spark, deployment.layout.references
+    args = (str(deployment.folder / "songs.csv"), str(deployment.folder / "users.csv"))
+    held = references.current(spark, store, *args)
+    (deployment.folder / "songs.csv").write_text(SONGS.replace("rock", "soul"))
+    (deployment.folder / "users.csv").write_text(USERS + "2,z,IT\n")
+    newer = references.current(spark, store, *args)
+    assert {row.track_genre for row in held.songs.collect()} == {"pop", "rock", "jazz"} and held.users.count() == 2
+    assert {row.track_genre for row in newer.songs.collect()} == {"pop", "soul", "jazz"} and newer.users.count() == 3
+    assert (held.for_kpis.repeated_bytes, newer.for_kpis.repeated_bytes > 0) == (0, True)
+    assert [tuple(row) for row in newer.for_kpis.repeated.collect()] == [(2, 2)]
+    assert held.for_kpis.version != newer.for_kpis.version and newer.for_kpis.broadcast_songs
