@@ -20,7 +20,7 @@ from playtally.functions import parsing
 from playtally.functions.counts import StageCounts
 from playtally.operators import kpis
 from playtally.operators.enrich import dedup_events, duration_or_zero, genre_or_unknown
-from playtally.operators.joins import fits_broadcast, left_join_reference, measured_bytes
+from playtally.operators.joins import fits_broadcast, hot_keys, left_join_reference, measured_bytes
 
 _Watch = Callable[[str, DataFrame], DataFrame]
 
@@ -34,16 +34,16 @@ def repeated_users(users: DataFrame) -> DataFrame:
     )
 
 
-def with_copies(plays: DataFrame, repeated: DataFrame, repeated_bytes: int) -> DataFrame:
+def with_copies(plays: DataFrame, repeated: DataFrame, repeated_bytes: int, hot: list | None = None) -> DataFrame:
     if repeated_bytes == 0:
         return plays.withColumn("copies", F.lit(1).cast("bigint"))
-    joined = left_join_reference(plays, repeated, "user_id", fits_broadcast(repeated_bytes))
+    joined = left_join_reference(plays, repeated, "user_id", fits_broadcast(repeated_bytes), hot=hot)
     return joined.withColumn("copies", F.coalesce("copies", F.lit(1).cast("bigint")))
 
 
-def user_grain(plays: DataFrame, songs: DataFrame, broadcast: bool, watch: _Watch) -> DataFrame:
+def user_grain(plays: DataFrame, songs: DataFrame, broadcast: bool, watch: _Watch, hot: list | None = None) -> DataFrame:
     by_track = watch("songs", songs.select("track_id", "track_genre", "duration_ms"))
-    joined = watch("enriched", left_join_reference(plays, by_track, "track_id", broadcast))
+    joined = watch("enriched", left_join_reference(plays, by_track, "track_id", broadcast, hot=hot))
     return joined.groupBy("user_id", genre_or_unknown().alias("track_genre"), "listen_date").agg(
         F.sum("copies").alias("plays"),
         F.sum(duration_or_zero() * F.col("copies")).alias("listened_ms"),
@@ -79,14 +79,17 @@ def daily_kpis(events: DataFrame, songs: DataFrame, users: DataFrame,
     songs_bytes, repeated_bytes = measured_bytes(
         songs.select("track_id", "track_name", "track_genre", "duration_ms"), repeated)
     broadcast = fits_broadcast(songs_bytes)
+    # Hot keys are counted before the copies are removed: that needs the key column only, not the shuffle of the plays.
+    hot_tracks = [] if broadcast else hot_keys(events, "track_id")
+    hot_users = [] if fits_broadcast(repeated_bytes) else hot_keys(events, "user_id")
 
     def by_day(plays: DataFrame) -> DataFrame:
         # The time stays only to spread a hot (track, user, day) over the salts of the song join.
         dated = plays.select("user_id", "track_id", F.to_date("listen_time").alias("listen_date"), "listen_time")
-        return with_copies(dated, repeated, repeated_bytes)
+        return with_copies(dated, repeated, repeated_bytes, hot_users)
 
     # Only one branch is watched; the shuffle below stays common to both.
-    grain = user_grain(by_day(watch("streams", deduplicated)), songs, broadcast, watch)
+    grain = user_grain(by_day(watch("streams", deduplicated)), songs, broadcast, watch, hot_tracks)
     plays = titled_plays(track_days(by_day(deduplicated)), songs, broadcast)
     merged = kpis.merge_kpis(kpis.genre_metrics(grain), kpis.top_songs_json(kpis.top_songs(plays)))
     return merged.withColumn("listen_date", parsing.listen_date(F.col("listen_date")))

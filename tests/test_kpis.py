@@ -248,3 +248,35 @@ def test_plan_shuffles_events_once_for_copies_and_limits_groups_early(spark, cou
     for expensive in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython"):
         assert expensive not in plan
     assert "l_extendedprice" not in plan and "p_retailprice" not in plan
+
+
+def test_only_hot_keys_repeat_the_reference(spark):
+    from playtally.operators.joins import SALTS, hot_keys, spread_reference
+
+    # A third of the plays on one track, a third without a track, the rest over 3,000 tracks.
+    plays = spark.range(30_000).select(F.col("id").alias("n"), F.when(F.col("id") % 3 == 0, F.lit("hot")).when(
+        F.col("id") % 3 == 2, F.concat(F.lit("t"), F.floor(F.col("id") / 3) % 3000)).alias("track_id"))
+    listed = spark.range(3000).select(F.concat(F.lit("t"), "id").alias("track_id"), F.col("id").alias("ms")).unionByName(
+        spark.createDataFrame([("hot", -1), ("hot", -2)], "track_id string, ms bigint"))
+    hot = hot_keys(plays, "track_id")
+    assert hot == ["hot"]
+    spread = spread_reference(listed, "track_id", hot, SALTS)
+    assert spread.count() <= 1.1 * listed.count() and spread.where("track_id = 'hot'").count() == 2 * SALTS
+    joined = left_join_reference(plays, listed, "track_id", broadcast=False)
+    expected = plays.join(F.broadcast(listed), "track_id", "left")
+    assert joined.count() == 40_000 and joined.exceptAll(expected.select(joined.columns)).count() == 0
+    # Both the hot track and the plays without one are dealt out over all salts.
+    salts = joined._jdf.queryExecution().analyzed().toString()
+    assert "_salt" in salts
+    for part in (plays.where("track_id = 'hot'"), plays.where("track_id is null")):
+        drawn = part.select(F.pmod(F.xxhash64("n"), F.lit(SALTS)).alias("s")).groupBy("s").count()
+        assert drawn.count() == SALTS
+
+
+def test_hot_keys_are_bounded_and_may_be_none(spark):
+    from playtally.operators.joins import hot_keys
+
+    even = spark.range(10_000).select((F.col("id") % 5000).alias("k"))
+    assert hot_keys(even, "k") == [] and hot_keys(even.limit(0), "k") == []
+    assert hot_keys(spark.createDataFrame([(None,)] * 5, "k int"), "k") == []
+    assert len(hot_keys(spark.range(100).select((F.col("id") % 3).alias("k")), "k", most=2)) <= 2
