@@ -170,29 +170,42 @@ def tile_links(prefixes: DataFrame, labels: DataFrame, sets: DataFrame) -> DataF
         asks, names, labels = (tile[name].to_numpy() for name in ("asks", "name", "label"))
         grid = np.frombuffer(b"".join(tile["fine"]), np.uint8).reshape(len(tile), FINE)
         prefixes, post, found = tile["prefix"].tolist(), tile["post"].iloc[0], {}
-        members = np.flatnonzero(~asks)
+        is_member = ~asks
+        # The members that hold each posting: a pair belongs to the first list that it shares, so a row leaves out those that
+        # it meets in a rarer one before any signature is compared.
+        held = np.flatnonzero(is_member)
+        postings = np.concatenate([prefixes[at] for at in held]) if len(held) else np.zeros(0, np.int64)
+        holder = np.repeat(held, [len(prefixes[at]) for at in held])
+        order = np.argsort(postings, kind="stable")
+        postings, holder = postings[order], holder[order]
         for row in np.flatnonzero(asks):
-            rivals = members[labels[members] != labels[row]]
-            hits = rivals[(grid[rivals] == grid[row]).sum(axis=1) >= FINE_MATCHES]
-            if len(hits):
-                mine = prefixes[row].tolist()
-                before = set(mine[:mine.index(post)])
-                near = [hit for hit in hits if before.isdisjoint(prefixes[hit].tolist())]
-                if near:
-                    found.setdefault((names[row], labels[row]), []).extend(names[near])
-                    for hit in near:
-                        found.setdefault((names[hit], labels[hit]), [])
+            mine = prefixes[row]
+            rarer = mine[:int(np.flatnonzero(mine == post)[0])]
+            rivals = is_member & (labels != labels[row])
+            for first, last in zip(np.searchsorted(postings, rarer).tolist(), np.searchsorted(postings, rarer, "right").tolist()):
+                rivals[holder[first:last]] = False
+            rivals = np.flatnonzero(rivals)
+            near = rivals[(grid[rivals] == grid[row]).sum(axis=1) >= FINE_MATCHES]
+            if len(near):
+                found.setdefault((names[row], labels[row]), []).extend(names[near])
+                for hit in near:
+                    found.setdefault((names[hit], labels[hit]), [])
         rows = [(post, tile["i"].iloc[0], tile["j"].iloc[0], name, label, partners) for (name, label), partners in found.items()]
         return pd.DataFrame(rows, columns=["post", "i", "j", "name", "label", "partners"])
 
     def confirm(tile: pd.DataFrame) -> pd.DataFrame:
-        held = {name: set(shingles.tolist()) for name, shingles in zip(tile["name"], tile["shingles"])}
+        # Sets stay the sorted arrays that they come as, in the order of unsigned numbers.
+        held = {name: shingles.view(np.uint64) for name, shingles in zip(tile["name"], tile["shingles"])}
         group, links = dict(zip(tile["name"], tile["label"])), []
         for name, partners in zip(tile["name"], tile["partners"]):
             for other in partners.tolist():
                 if group[name] != group[other]:
-                    both = len(held[name] & held[other])
-                    if 100 * both >= SIMILAR_PERCENT * (len(held[name]) + len(held[other]) - both):
+                    small, large = sorted((held[name], held[other]), key=len)
+                    if 100 * len(small) < SIMILAR_PERCENT * len(large):
+                        continue
+                    place = np.minimum(np.searchsorted(large, small), len(large) - 1)
+                    both = int((large[place] == small).sum())
+                    if 100 * both >= SIMILAR_PERCENT * (len(small) + len(large) - both):
                         links.append((name, other))
                         old, new = group[other], group[name]
                         group = {one: new if label == old else label for one, label in group.items()}
