@@ -28,7 +28,7 @@ repeated rows are one class and get the same row each; other columns are ignored
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -41,6 +41,7 @@ from playtally.llm.storage import cut
 SHINGLE, SIMILAR_PERCENT = 5, 75
 COORDINATES, MATCHES, TILE = 64, 30, 1024
 FINE, FINE_MATCHES = 256, 156
+TILE_KEYS = ["post", "i", "j"]
 _RNG = np.random.default_rng(20240602)
 _FLIP = _RNG.integers(0, 2**63, FINE, dtype=np.uint64)
 _TURN = _RNG.integers(0, 2**63, FINE, dtype=np.uint64) | np.uint64(1)
@@ -144,6 +145,32 @@ def pivot_pairs(prefixes: DataFrame) -> DataFrame:
         F.least("name", "a").alias("a"), F.greatest("name", "a").alias("b")).distinct()
 
 
+def by_tile(rows: DataFrame, work: Callable[[dict[str, np.ndarray]], list[tuple]], schema: str) -> DataFrame:
+    """`work` on the rows of each tile, as arrays by column. Most tiles are small, so tasks walk over sorted rows and cut them
+    where the tile changes, instead of making a frame for each; a tile has at most 2 TILE rows."""
+    names = [column.split()[0] for column in schema.split(", ")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            waiting = batch if waiting is None else pd.concat([waiting, batch], ignore_index=True)
+            made, waiting = cut_at_tiles(waiting, False)
+            yield pd.DataFrame(made, columns=names)
+        if waiting is not None:
+            yield pd.DataFrame(cut_at_tiles(waiting, True)[0], columns=names)
+
+    def cut_at_tiles(held: pd.DataFrame, whole: bool) -> tuple[list[tuple], pd.DataFrame]:
+        keys = held[TILE_KEYS].to_numpy()
+        starts = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1, [len(held)] if whole else []]).astype(int).tolist()
+        columns = {name: held[name].to_numpy() for name in held}
+        made = [row for a, b in zip(starts, starts[1:]) for row in work({name: values[a:b] for name, values in columns.items()})]
+        return made, held.iloc[starts[-1]:]
+
+    return rows.repartition(*TILE_KEYS).sortWithinPartitions(*TILE_KEYS).mapInPandas(run, schema)
+
+
 def tile_links(prefixes: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b) that join components within lists that hold several: each member outside its list's largest component
     against the whole list, in tiles of bounded size. Pairs above the threshold are confirmed in a tile of their own,
@@ -166,10 +193,10 @@ def tile_links(prefixes: DataFrame, labels: DataFrame, sets: DataFrame) -> DataF
         *kept, F.lit(True).alias("asks"), F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"),
         F.pmod(place, "columns").cast("int").alias("j"))
 
-    def compare(tile: pd.DataFrame) -> pd.DataFrame:
-        asks, names, labels = (tile[name].to_numpy() for name in ("asks", "name", "label"))
-        grid = np.frombuffer(b"".join(tile["fine"]), np.uint8).reshape(len(tile), FINE)
-        prefixes, post, found = tile["prefix"].tolist(), tile["post"].iloc[0], {}
+    def compare(tile: dict[str, np.ndarray]) -> list[tuple]:
+        asks, names, labels = (tile[name] for name in ("asks", "name", "label"))
+        grid = np.frombuffer(b"".join(tile["fine"]), np.uint8).reshape(len(names), FINE)
+        prefixes, (post, i, j), found = tile["prefix"], (int(tile[name][0]) for name in TILE_KEYS), {}
         is_member = ~asks
         # The members that hold each posting: a pair belongs to the first list that it shares, so a row leaves out those that
         # it meets in a rarer one before any signature is compared.
@@ -190,8 +217,7 @@ def tile_links(prefixes: DataFrame, labels: DataFrame, sets: DataFrame) -> DataF
                 found.setdefault((names[row], labels[row]), []).extend(names[near])
                 for hit in near:
                     found.setdefault((names[hit], labels[hit]), [])
-        rows = [(post, tile["i"].iloc[0], tile["j"].iloc[0], name, label, partners) for (name, label), partners in found.items()]
-        return pd.DataFrame(rows, columns=["post", "i", "j", "name", "label", "partners"])
+        return [(post, i, j, name, label, partners) for (name, label), partners in found.items()]
 
     def confirm(tile: pd.DataFrame) -> pd.DataFrame:
         # Sets stay the sorted arrays that they come as, in the order of unsigned numbers.
@@ -211,10 +237,9 @@ def tile_links(prefixes: DataFrame, labels: DataFrame, sets: DataFrame) -> DataF
                         group = {one: new if label == old else label for one, label in group.items()}
         return pd.DataFrame(links, columns=["a", "b"])
 
-    tile = ["post", "i", "j"]
-    near = whole.unionByName(asking).groupBy(*tile).applyInPandas(
-        compare, "post bigint, i int, j int, name bigint, label bigint, partners array<bigint>")
-    return near.join(sets.select("name", "shingles"), "name").groupBy(*tile).applyInPandas(confirm, "a bigint, b bigint").distinct()
+    near = by_tile(whole.unionByName(asking), compare, "post bigint, i int, j int, name bigint, label bigint, partners array<bigint>")
+    # Few tiles have candidates, and their sets can be large: one tile at a time.
+    return near.join(sets.select("name", "shingles"), "name").groupBy(*TILE_KEYS).applyInPandas(confirm, "a bigint, b bigint").distinct()
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
