@@ -9,7 +9,8 @@ alone, and a logistic classifier over votes, kind and length is then trained on
 
 What training needs is the number of spans by (kind, votes, length class): counts over all texts, summed
 in each task and then in Spark, a table of at most 9 x 3^5 x 4 rows whatever the corpus. Applying the model is a
-narrow pass with no shuffle. A text is scanned once per pattern; memory is one text and its spans.
+narrow pass with no shuffle. A text is scanned once per pattern, in time that grows with its length; memory is one
+text and its spans.
 
 Defined results: a null text is empty; repeated rows get the same spans each and count as often in training;
 without any spans the model is the prior and adds nothing; a loose span that overlaps a base span is dropped, and
@@ -23,6 +24,7 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -34,9 +36,10 @@ KINDS = (*BASE_KINDS, "spelled_email", "local_phone", "ssn", "iban", "mac")
 LABELERS = ("pattern", "gazetteer", "context", "checksum", "surroundings")
 THRESHOLD, EM_ROUNDS, CLASSIFIER_ROUNDS, CONTEXT_CHARS = 0.9, 50, 50, 40
 
-_EMAIL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-@")
-_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+_EMAIL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
+# Dots end a run of digits, so whatever starts within a run also starts at its first digit: only those are tried, once each.
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOOSE = {
@@ -83,18 +86,17 @@ def _small(part: str) -> bool:
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
-    """Matches of the e-mail pattern. One lies within a run of its characters around an @, so only those are searched."""
+    """Matches of the e-mail pattern, an @ at a time: what stands before it back to the last match, and its domain."""
     at, done = text.find("@"), 0
     while at >= 0:
-        start, end = at, at + 1
-        while start > done and text[start - 1] in _EMAIL_CHARS:
-            start -= 1
-        while end < len(text) and text[end] in _EMAIL_CHARS:
-            end += 1
-        for match in _EMAIL.finditer(text, start, end):
-            yield match.span()
-        done = end
-        at = text.find("@", end)
+        start, domain = at, _DOMAIN.match(text, at)
+        if domain:
+            while start > done and text[start - 1] in _EMAIL_CHARS:
+                start -= 1
+        if start < at:
+            yield start, domain.end()
+            done = domain.end()
+        at = text.find("@", max(done, at + 1))
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -136,13 +138,15 @@ def _ibans(text: str) -> Iterator[tuple[int, int]]:
 
 def loose_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """All further candidates that do not overlap base spans; they may overlap each other until they are scored."""
-    taken = sorted(base)
+    starts = [a for a, _, _ in base]
+    reach = [0, *accumulate((b for _, b, _ in base), max)]
     found = [(*match.span(), "card") for match in _CARD.finditer(text) if 12 <= len(_digits(match[0])) <= 19]
     for kind, pattern in _LOOSE.items():
         if _NEEDED[kind].search(text):
             places = _ibans(text) if kind == "iban" else (match.span() for match in pattern.finditer(text))
             found += [(*place, kind) for place in places]
-    return [span for span in ordered(found) if not _overlaps(taken, span)]
+    # Base spans come by start: one overlaps if any that starts before the end of the span reaches beyond its start.
+    return [span for span in ordered(found) if reach[bisect_left(starts, span[1])] <= span[0]]
 
 
 def settled(scored: list[tuple[float, tuple[int, int, str]]]) -> list[tuple[int, int, str]]:
@@ -155,10 +159,6 @@ def settled(scored: list[tuple[float, tuple[int, int, str]]]) -> list[tuple[int,
     return kept
 
 
-def _overlaps(taken: list[tuple[int, int, str]], span: tuple[int, int, str]) -> bool:
-    return any(a < span[1] and span[0] < b for a, b, _ in taken)
-
-
 def _iban_valid(text: str) -> bool:
     text = text.replace(" ", "")
     return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97 == 1
