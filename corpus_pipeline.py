@@ -2,7 +2,12 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a frame; all but the last return the columns of
 documents. Between stages the frame is written as Parquet and read again, so a lost executor never costs more
-than the stage at hand.
+than the stage at hand; it is deleted once the next stage is written.
+
+Defined results: an empty table stays empty through all stages; a null or empty text has no words, so the first stage
+drops it; rows with a null doc_id go through like others; of repeated rows one stays; a null lang, source or n_chars
+is kept or made anew; further columns go along up to the last stage, whatever their names, which returns doc_id, lang and
+source with the pieces.
 """
 
 from __future__ import annotations
@@ -13,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playtally.llm import decontaminate, neardup, pieces, pii, quality, storage
+from playtally.sources import files
 
 #: SQL has no piece lattice: the stages are tested one by one instead.
 ORACLE_SQL = None
@@ -60,9 +66,12 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over documents, each written to the shared checkpoint folder for the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         folder = f"{storage.shared_folder(spark)}/pipeline-{uuid4().hex}"
         stage(spark, docs, sf_dir).write.parquet(folder)
         docs = spark.read.parquet(folder)
+        if before:
+            files.delete(spark, before)
+        before = folder
     return STAGES[-1][1](spark, docs, sf_dir)
