@@ -120,7 +120,9 @@ def _measured(texts: pd.Series) -> pd.DataFrame:
 
 def judge(docs: DataFrame, into: str = "quality") -> DataFrame:
     """`docs` with a struct column `into`: the counts, base_failed, kept and the cleaned text."""
-    raw = docs.withColumn(into, F.pandas_udf(_measured, RESULT)(F.coalesce(F.col("text"), F.lit(""))))
+    # Not deterministic to the optimizer, else a filter on the verdict would measure every text a second time.
+    measured = F.pandas_udf(_measured, RESULT).asNondeterministic()
+    raw = docs.withColumn(into, measured(F.coalesce(F.col("text"), F.lit(""))))
     get = F.col(into).getField
     base = (get("n_words") < MIN_WORDS) | (100 * get("n_repeat_words") > MAX_REPEAT_PERCENT * get("n_words"))
     kept = ~base & (100 * get("n_kept_words") >= MIN_KEPT_PERCENT * get("n_words"))
