@@ -278,7 +278,8 @@ def _grouped(docs: DataFrame) -> DataFrame:
     prefixes = cut(prefix_postings(classes))
 
     wanted = prefixes.select("name").join(classes.select("name", "check", "first_id"), "name")
-    made = F.pandas_udf(_sets, "name bigint, check bigint, shingles array<bigint>, fine binary")
+    # Not deterministic to the optimizer, else the filter on its names would make every set a second time.
+    made = F.pandas_udf(_sets, "name bigint, check bigint, shingles array<bigint>, fine binary").asNondeterministic()
     texts = docs.select(F.col("doc_id").alias("first_id"), "text").join(
         wanted.withColumnsRenamed({"name": "w_name", "check": "w_check", "first_id": "w_id"}),
         F.col("first_id").eqNullSafe(F.col("w_id")))
