@@ -136,6 +136,12 @@ def test_quality_edges(docs, none):
     assert got[5].quality.kept and got[5].key == "x" and quality.judge(none).count() == 0
 
 
+def test_each_text_is_judged_once(docs):
+    """A filter on the verdict must not bring a second Python evaluation of the same texts."""
+    plan = quality.judge(docs).where("quality.kept").select("quality.cleaned")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_quality_lines(spark):
     body = prose(5, 40)
     text = f"Home | News | Contact\n{body}\nAll Rights Reserved 2024 by us.\nfoo bar\n{body} more."
@@ -352,6 +358,41 @@ def test_language_edges(spark, docs, none):
     assert language.identify(none, model).count() == 0
 
 
+def test_language_needs_letters(spark):
+    frame = documents(spark, ["½ ²", "1 Ⅷ٣", "12 ª", prose(1, 40)])
+    got = rows(language.identify(frame, language.fit(frame)))
+    assert [got[i].language.lang_pred == "und" for i in range(4)] == [True, True, False, False]
+    assert got[0].language.score == 0
+
+
+def test_language_many_values(spark):
+    """A thousand languages: shorter contexts, tables within the bytes given, each still found by its own texts."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = [(i, (letters[i % 26] + letters[i // 26 % 26] + letters[i // 676]) * 30, f"l{i:04}") for i in range(1000)]
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string, lang string")
+    model = language.fit(frame, 330 << 20)
+    assert model.order == 2 and model.table().nbytes <= 330 << 20
+    names, _ = model.predict([text for _, text, _ in texts])
+    assert sum(name == lang for name, (_, _, lang) in zip(names, texts)) >= 950
+    assert [language.order_for(n) for n in (0, 1, 39, 40, 1688, 1689)] == [3, 3, 3, 2, 2, 1]
+    with pytest.raises(ValueError, match="languages"):
+        language.order_for(100, 10_000)
+
+
+def test_language_counts_do_not_depend_on_chunks(spark, monkeypatch):
+    import pandas as pd
+    frame = documents(spark, [prose(i, 60) for i in range(12)])
+    frame = frame.withColumn("lang", F.concat(F.lit("l"), (F.col("doc_id") % 3).cast("string"))).coalesce(1)
+    counted = lambda order: sorted(map(tuple, language.count_grams(frame, order).collect()))
+    whole = counted(3)
+    for name, value in (("_COUNT_CHUNK", 1000), ("_MOST_WAITING", 100), ("_SUM_BYTES", 1)):
+        monkeypatch.setattr(language, name, value)
+    assert counted(3) == whole
+    short = pd.DataFrame(whole, columns=["lang", "gram", "n"])
+    short["gram"] %= language.SYMBOLS ** 2
+    assert counted(1) == sorted(map(tuple, short.groupby(["lang", "gram"], as_index=False)["n"].sum().values.tolist()))
+
+
 # ---- 9 --------------------------------------------------------------------------------------------
 
 def test_licenses(spark, none):
@@ -422,6 +463,38 @@ def test_pii_base(spark, none):
     assert pii.redact(frame, pii.fit(none)).where("text is null").count() == 1
 
 
+def test_pii_base_on_random_texts():
+    picks = random.Random(3)
+    for pool in ("ab.@-_9 ", "0129. -", "+1( ).-5", "a1@.+- ½é", "@.a"):
+        for _ in range(4000):
+            text = "".join(picks.choices(pool, k=picks.randrange(30)))
+            assert pii.base_spans(text) == python_pii(text), text
+
+
+def test_pii_loose_spans_beside_base_spans():
+    picks = random.Random(4)
+    parts = ["4111 1111 1111 1111", "212-555-0199", "078-05-1120", "a@b.co", "+1 212 555 0199", " ", "1.2.3.4", "joe [at] x [dot] com", "-", "9"]
+    for _ in range(500):
+        text = "".join(picks.choices(parts, k=8))
+        base = pii.base_spans(text)
+        free = [span for span in pii.loose_spans(text, []) if all(b <= span[0] or span[1] <= a for a, b, _ in base)]
+        assert pii.loose_spans(text, base) == free
+
+
+@pytest.mark.parametrize("text", [
+    "1" * 10**6, "1." * 500_000, "a" * 10**6 + "@", "a@" * 500_000, "+1" + "(" * 10**6, "a@b.c_" * 170_000,
+    "4111 1111 1111 1111, 212-555-0199; " * 50_000], ids=["digits", "dots", "name", "ats", "brackets", "mails", "spans"])
+def test_pii_time_grows_with_the_text(text):
+    import time
+    seconds = []
+    for part in (text[:len(text) // 4], text):
+        began = time.process_time()
+        base = pii.base_spans(part)
+        pii.settled([(1.0, span) for span in pii.loose_spans(part, base)])
+        seconds.append(time.process_time() - began)
+    assert seconds[1] < max(8 * seconds[0], 2)
+
+
 def test_pii_learns_from_votes(spark):
     texts = [f"call me at +49 170 55512{i:02d} or mail a{i}@b.com" for i in range(60)] + [
         f"phone: (212) 555-01{i:02d}." for i in range(40)] + [f"order x{400 + i}-555-01{i:02d}y" for i in range(40)]

@@ -65,3 +65,28 @@ def test_ids_decode_to_the_texts(stages):
     rows = sql(stages[5], "select doc_id, ids, restored from documents")
     assert len(rows) == len(texts)
     assert all(restored and pieces.decode(vocabulary, ids) == texts[doc] for doc, ids, restored in rows)
+
+
+def test_awkward_rows(spark, tmp_path):
+    """Nulls in any column, empty and repeated rows, and further columns named as the stages name theirs."""
+    words = [f"{a}{b}" for a in "stone river market winter garden letter morning".split() for b in ("", "s", "ed", "ing", "er")]
+    text = lambda k: " ".join(words[(k + i * i + i // 7) % len(words)] for i in range(60)) + "."
+    given = [(1, text(1), "en", "a", 5), (None, text(9), None, None, None), (3, None, "en", "a", 0), (4, "", "en", "a", 0),
+             (5, text(1), "en", "b", 5), (None, None, None, None, None), (6, "too few words", "en", "a", 13)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    more = {name: "1" for name in ("key", "label", "__key", "pieces", "name", "n", "start")}
+    for rows, kept in ((given, [None, 1]), ([], [])):
+        docs = spark.createDataFrame(rows, schema).selectExpr("*", *[f"{value} as {name}" for name, value in more.items()])
+        for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            folder = str(tmp_path / f"{len(rows)}-{i}")
+            stage(spark, docs, str(SCALE)).write.parquet(folder)
+            docs = spark.read.parquet(folder)
+            if i < 4:
+                assert docs.columns == [*COLUMNS, *more]
+        assert sorted((row.doc_id for row in docs.collect()), key=lambda one: one or 0) == kept
+
+
+def test_run_leaves_only_the_last_folder(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline.storage, "shared_folder", lambda spark: str(tmp_path))
+    result = corpus_pipeline.run(spark, str(TESTDATA / "sf0.001"))
+    assert len([path for path in tmp_path.iterdir() if path.name.startswith("pipeline-")]) == 1 and result.count()
