@@ -11,12 +11,14 @@ dropped before any text moves. What remains are contexts: the starts that share
 Each task sorts the suffixes of the contexts of its buckets by a difference cover modulo 3: the triples at
 positions 1 and 2 mod 3 are sorted and named, the names are sorted recursively, the suffixes at 0 mod 3 are merged in by
 their first byte and the rank behind it. Recursion ends once names cover MATCH bytes. Neighbours in the order are
-then compared over MATCH bytes; equal ones are repeats.
+then compared byte by byte over MATCH bytes; equal ones are repeats. Hashes only deal out, they decide nothing.
 
 Equal contexts become one row before they are shuffled with their bytes, so copies of any number cost one; two places
 of one context already prove every start of it. A bucket with more than BUCKET different contexts (one passage
-in the midst of very many texts) is not gathered: its starts are counted by a 128-bit hash of their MATCH bytes.
-Equal texts are scanned by key (64 bits of their hash) and one of them is searched.
+in the midst of very many texts) is dealt out finer, never gathered: its starts are halved by their distance before the
+anchor. Strings of one half share more bytes around it (`shared_core`), and the hash of these names the bucket
+of the half. After nine halvings a slice is one string and equal ones are one row, so every bucket becomes small.
+Equal texts are scanned by key (128 bits of their SHA-256) and one of them is searched.
 
 Defined results: a null text is empty; a text shorter than MATCH keeps all; repeated rows are repeated texts
 and lose everything from MATCH bytes on; other columns are ignored.
@@ -38,9 +40,12 @@ from playtally.llm.storage import cut
 MATCH, GRAM = 400, 128
 WINDOWS = MATCH - GRAM + 1
 BUCKET, SORTED_BYTES = 1500, 700_000
+#: Names of crowded buckets (8 bytes each) that are broadcast; beyond, both sides are shuffled.
+MOST_BROADCAST = 1_000_000
 _SYMBOL_BITS = 21
 
-CONTEXT = "anchor bigint, context binary, key bigint, start int, starts int, bytes binary"
+#: A slice holds starts whose distance before the anchor is in [low, high); `left` is that of its first byte.
+SLICE = "bucket bigint, context binary, low int, high int, left int, starts int, bytes binary"
 
 
 def window_hashes(codes: np.ndarray, width: int) -> np.ndarray:
@@ -53,9 +58,10 @@ def window_hashes(codes: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(text, hash, first start, starts) of each run of starts with one anchor, in a block of texts."""
+    """(text, hash, first start, starts, distance to the anchor) of each run of starts with one anchor, in a block."""
     hashes = window_hashes(codes, GRAM)
-    low = np.uint64((1 << int(len(codes)).bit_length()) - 1)
+    # One width for every block, so that equal strings break ties alike.
+    low = np.uint64((1 << 32) - 1)
     least = windowed_min((hashes & ~low) | np.arange(len(hashes), dtype=np.uint64), WINDOWS)
     place = (least & low).astype(np.int64)
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:len(place)]
@@ -66,33 +72,57 @@ def anchors(codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     at = np.flatnonzero(first)
     starts = np.diff(np.concatenate([at, [len(place)]]))
     at, starts = at[whole[at]], starts[whole[at]]
-    return text[at], hashes[place[at]].view(np.int64), at, starts
+    return text[at], hashes[place[at]].view(np.int64), at, starts, place[at] - at
 
 
 def _anchor_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         keys, ids = batch["key"].to_numpy(), batch["id"]
         for first, _, data, offsets in text_blocks(batch["text"].tolist()):
-            text, hashes, at, _ = anchors(np.frombuffer(data, np.uint8), offsets)
+            text, hashes, at, _, _ = anchors(np.frombuffer(data, np.uint8), offsets)
             yield pd.DataFrame({"anchor": hashes, "key": keys[first + text], "start": (at - offsets[text]).astype(np.int32),
                                 "id": ids.iloc[first + text].to_numpy()})
 
 
+def shared_core(low: int, high: int, left: int) -> slice:
+    """The bytes of a slice that lie in every string which starts `low` to `high` - 1 bytes before its anchor."""
+    return slice(left - low, left - high + 1 + MATCH)
+
+
+def _digest(data: bytes, size: int = 16) -> bytes:
+    return hashlib.blake2b(data, digest_size=size).digest()
+
+
 def _context_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         keys, wanted = batch["key"].to_numpy(), batch["anchors"].tolist()
         for first, last, data, offsets in text_blocks(batch["text"].tolist()):
-            text, hashes, at, starts = anchors(np.frombuffer(data, np.uint8), offsets)
+            text, hashes, at, starts, left = anchors(np.frombuffer(data, np.uint8), offsets)
             held = np.zeros(len(at), bool)
             for row in range(first, last):
                 mine = slice(*np.searchsorted(text, [row - first, row - first + 1]))
                 held[mine] = np.isin(hashes[mine], wanted[row])
-            text, hashes, at, starts = text[held], hashes[held], at[held], starts[held]
+            text, hashes, at, starts, left = text[held], hashes[held], at[held], starts[held], left[held]
             pieces = [data[a:a + n - 1 + MATCH] for a, n in zip(at.tolist(), starts.tolist())]
             yield pd.DataFrame({
-                "anchor": hashes, "context": [hashlib.blake2b(piece, digest_size=16).digest() for piece in pieces],
                 "key": keys[first + text], "start": (at - offsets[text]).astype(np.int32),
-                "starts": starts.astype(np.int32), "bytes": pieces})
+                "bucket": hashes, "context": [_digest(piece) for piece in pieces], "low": np.int32(0), "high": np.int32(WINDOWS),
+                "left": left.astype(np.int32), "starts": starts.astype(np.int32), "bytes": pieces})
+
+
+def _halves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The starts of each slice in two slices, by their distance before the anchor."""
+    for batch in batches:
+        rows = []
+        for key, low, high, left, starts, data in batch[["context", "low", "high", "left", "starts", "bytes"]].itertuples(index=False):
+            middle = (low + high) // 2
+            for a, b in ((low, middle), (middle, high)):
+                first, last = max(0, left - b + 1), min(starts, left - a + 1)
+                if first < last:
+                    piece = data[first:last - 1 + MATCH]
+                    bucket = int.from_bytes(_digest(data[shared_core(a, b, left)], 8), "little", signed=True)
+                    rows.append((key, first, bucket, _digest(piece), a, b, left - first, last - first, piece))
+        yield pd.DataFrame(rows, columns=["key", "start", "bucket", "context", "low", "high", "left", "starts", "bytes"])
 
 
 # ---- Difference cover -----------------------------------------------------------------------------
@@ -155,12 +185,14 @@ def equal_starts(contexts: list[bytes], starts: list[int]) -> list[np.ndarray]:
         is_start[at:at + n] = True
     order = suffix_order(symbols, MATCH)
     order = order[is_start[order]]
-    prefixes = np.zeros(len(codes), np.uint64)
-    hashes = window_hashes(codes, MATCH)
-    prefixes[:len(hashes)] = hashes
-    same = prefixes[order][1:] == prefixes[order][:-1]
+    one, other = order[:-1], order[1:]
+    # Eight bytes at a time from the end, where neighbours that differ mostly do.
+    words = np.ndarray((max(0, len(data) - 7),), "<u8", data, strides=(1,))
+    for at in range(MATCH - 8, -1, -8):
+        same = words[one + at] == words[other + at]
+        one, other = one[same], other[same]
     repeated = np.zeros(len(codes), bool)
-    repeated[order[1:][same]] = repeated[order[:-1][same]] = True
+    repeated[one] = repeated[other] = True
     return [repeated[at:at + n] for at, n in zip(begin, starts)]
 
 
@@ -173,9 +205,9 @@ RUNS = "array<struct<a:int,b:int>>"
 
 
 def _sorted_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by anchor; whole buckets are sorted together while they are small."""
+    """Rows come sorted by bucket; whole buckets are sorted together while they are small."""
     waiting: list[tuple] = []
-    size, anchor = 0, None
+    size, bucket, began = 0, None, 0
 
     def done() -> pd.DataFrame:
         found = equal_starts([row[2] for row in waiting], [row[1] for row in waiting])
@@ -183,24 +215,21 @@ def _sorted_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return pd.DataFrame(rows, columns=["context", "runs"])
 
     for batch in batches:
-        for row in zip(batch["context"], batch["starts"], batch["bytes"], batch["anchor"]):
-            if row[3] != anchor and size > SORTED_BYTES:
-                yield done()
-                waiting, size = [], 0
-            anchor = row[3]
+        for row in zip(batch["context"], batch["starts"], batch["bytes"], batch["bucket"]):
+            if row[3] != bucket:
+                # Starts of one context lie at different distances from its anchor, so a lone context repeats nothing.
+                if len(waiting) - began == 1:
+                    size -= len(waiting.pop()[2])
+                if size > SORTED_BYTES:
+                    yield done()
+                    waiting, size = [], 0
+                bucket, began = row[3], len(waiting)
             waiting.append(row)
             size += len(row[2])
     if waiting:
         yield done()
 
 
-def _start_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for context, starts, data in zip(batch["context"], batch["starts"], batch["bytes"]):
-            yield pd.DataFrame({"context": [context] * starts, "at": range(starts), "string": [
-                hashlib.blake2b(data[at:at + MATCH], digest_size=16).digest() for at in range(starts)]})
-
-
 # ---- Operator -------------------------------------------------------------------------------------
 
 def _kept(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
@@ -220,12 +249,39 @@ def _kept(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["n_removed", "n_spans", "kept_sha256"])
 
 
+def _settled(placed: DataFrame) -> DataFrame:
+    """(context, runs of its repeated starts) of rows (key, start, slice); crowded buckets are halved until none is left."""
+    place = F.xxhash64("key", "start")
+    slices = ("bucket", "low", "high", "left", "starts", "bytes")
+    unique = cut(placed.groupBy("context").agg(F.min(place).alias("one"), F.max(place).alias("other"),
+                                               *[F.first(name).alias(name) for name in slices]))
+    runs = unique.where("one <> other").select("context", F.array(F.struct(
+        F.lit(0).alias("a"), F.col("starts").alias("b"))).alias("runs"))
+    crowded = cut(unique.groupBy("bucket").agg(F.count(F.lit(1)).alias("held"), F.min(F.col("high") - F.col("low")).alias("distances"))
+                  .where(f"held > {BUCKET} and distances > 1").select("bucket"))
+    number, calm = crowded.count(), unique
+    if number:
+        crowded = F.broadcast(crowded) if number <= MOST_BROADCAST else crowded
+        calm = unique.join(crowded, "bucket", "left_anti")
+        halves = cut(unique.join(crowded, "bucket", "left_semi").mapInPandas(_halves, f"key binary, start int, {SLICE}"))
+        runs = runs.unionByName(_moved(halves.select("key", "start", "context"), _settled(halves), 0)
+                                .withColumnRenamed("key", "context"))
+    return runs.unionByName(calm.repartition("bucket").sortWithinPartitions("bucket").select(
+        "context", "starts", "bytes", "bucket").mapInPandas(_sorted_buckets, f"context binary, runs {RUNS}"))
+
+
+def _moved(placed: DataFrame, runs: DataFrame, longer: int) -> DataFrame:
+    """(key, runs) with the runs of each context moved to its start in the key, their ends by `longer` more."""
+    return placed.join(runs, "context").select("key", F.transform("runs", lambda run: F.struct(
+        (F.col("start") + run["a"]).alias("a"), (F.col("start") + run["b"] + longer).alias("b"))).alias("runs"))
+
+
 def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(key, text) of the texts that hold an anchor seen elsewhere, and (key, runs) of their repeated bytes."""
     # As text, since pandas would make doubles of numbers beside nulls.
-    texts = docs.select(F.col("doc_id").cast("string").alias("id"), F.xxhash64("text").alias("key"), "text").where(
+    texts = docs.select(F.col("doc_id").cast("string").alias("id"), _key(F.sha2("text", 256)).alias("key"), "text").where(
         F.octet_length("text") >= MATCH)
-    rows = texts.mapInPandas(_anchor_rows, "anchor bigint, key bigint, start int, id string")
+    rows = texts.mapInPandas(_anchor_rows, "anchor bigint, key binary, start int, id string")
     place = F.xxhash64("key", "start")
     # Written first: a join that also aggregates one side cannot split the rows of a hot anchor.
     shared = cut(rows.groupBy("anchor").agg(F.min(place).alias("one"), F.max(place).alias("other")).where(
@@ -235,37 +291,24 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     near = cut(texts.join(wanted, F.col("id").eqNullSafe(F.col("w_id")) & (F.col("key") == F.col("w_key")))
                .select("key", "text", "anchors"))
 
-    contexts = near.mapInPandas(_context_rows, CONTEXT)
-    buckets = cut(contexts.groupBy("anchor").agg(F.count_distinct("context").alias("held")))
-    unique = contexts.groupBy("context").agg(
-        F.min(place).alias("one"), F.max(place).alias("other"), F.first("anchor").alias("anchor"),
-        F.first("starts").alias("starts"), F.first("bytes").alias("bytes"))
-    unique = cut(unique.join(buckets, "anchor").where("held > 1 or one <> other"))
-    copied = unique.where("one <> other").select("context", F.array(F.struct(
-        F.lit(0).alias("a"), F.col("starts").alias("b"))).alias("runs"))
-    sorted_runs = (unique.where(f"held between 2 and {BUCKET}").repartition("anchor").sortWithinPartitions("anchor")
-                   .select("context", "starts", "bytes", "anchor").mapInPandas(_sorted_buckets, f"context binary, runs {RUNS}"))
-    strings = unique.where(f"held > {BUCKET}").select("context", "starts", "bytes").mapInPandas(
-        _start_rows, "context binary, at int, string binary")
-    twice = strings.groupBy("string").agg(F.min("context").alias("one"), F.max("context").alias("other")).where(
-        "one <> other").select("string")
-    counted = strings.join(twice, "string").groupBy("context").agg(F.collect_list(F.struct(
-        F.col("at").alias("a"), (F.col("at") + 1).alias("b"))).alias("runs"))
-    runs = copied.unionByName(sorted_runs).unionByName(counted)
-    placed = contexts.select("context", "key", "start").join(runs, "context").select(
-        "key", F.transform("runs", lambda run: F.struct(
-            (F.col("start") + run["a"]).alias("a"), (F.col("start") + run["b"] + MATCH - 1).alias("b"))).alias("runs"))
-    return near.select("key", "text"), placed.groupBy("key").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+    contexts = near.mapInPandas(_context_rows, f"key binary, start int, {SLICE}")
+    runs = _moved(contexts.select("key", "start", "context"), _settled(contexts), MATCH - 1)
+    return near.select("key", "text"), runs.groupBy("key").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+
+
+def _key(digest):
+    return F.unhex(F.substring(digest, 1, 32))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """One row per row of `docs`: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     near, runs = repeated_spans(docs)
-    cleaned = near.dropDuplicates(["key"]).join(runs, "key").select("key", F.pandas_udf(
-        _kept, "n_removed bigint, n_spans bigint, kept_sha256 string")("text", "runs").alias("r"))
-    base = docs.select("doc_id", F.xxhash64("text").alias("key"), F.octet_length("text").cast("bigint").alias("n_bytes"),
-                       F.sha2("text", 256).alias("whole"))
+    # Written before the join below, which can then split the rows of a text in very many copies.
+    cleaned = cut(near.dropDuplicates(["key"]).join(runs, "key").select("key", F.pandas_udf(
+        _kept, "n_removed bigint, n_spans bigint, kept_sha256 string")("text", "runs").alias("r")))
+    base = docs.select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), F.sha2("text", 256).alias("whole"))
+    base = base.withColumn("key", _key(F.col("whole")))
     copies = cut(base.groupBy("key").agg(F.count(F.lit(1)).alias("copies")))
     gone = (F.col("copies") > 1) & (F.col("n_bytes") >= MATCH)
     return base.join(copies, "key").join(cleaned, "key", "left").select(

@@ -270,6 +270,31 @@ def test_repeats_against_all_windows(spark, none, monkeypatch, bucket):
     assert repeats.remove_repeats(none).count() == 0
 
 
+@pytest.mark.parametrize("bucket", [3, 20])
+def test_repeats_of_one_common_passage(spark, monkeypatch, bucket):
+    """A passage in a third of the texts, shorter and longer than a repeat with what surrounds it, crowds its buckets."""
+    monkeypatch.setattr(repeats, "BUCKET", bucket)
+    common = prose(900, 80)
+    texts = [f"{prose(1000 + i, 40)} {common[:300 + 10 * (i % 20)]} {prose(2000 + i % 7, 40)}" for i in range(40)]
+    texts += [prose(3000 + i, 120) for i in range(80)]
+    got = rows(repeats.remove_repeats(documents(spark, texts)))
+    for i, expected in enumerate(python_repeats(texts)):
+        assert tuple(got[i])[1:] == expected, i
+
+
+def test_repeats_need_the_order(monkeypatch):
+    """Neighbours of the sorted suffixes decide: in the order of their places equal strings are missed."""
+    import numpy as np
+    contexts = [(prose(i, 20)[:100] + prose(5, 80)[:400] + prose(30 + i, 40))[:600].encode() for i in range(4)]
+    starts = [201] * 4
+    found = repeats.equal_starts(contexts, starts)
+    held = Counter(c[at:at + repeats.MATCH] for c in contexts for at in range(201))
+    assert [list(f) for f in found] == [[held[c[at:at + repeats.MATCH]] > 1 for at in range(201)] for c in contexts]
+    assert any(f.any() for f in found)
+    monkeypatch.setattr(repeats, "suffix_order", lambda symbols, depth: np.arange(len(symbols)))
+    assert not any(f.any() for f in repeats.equal_starts(contexts, starts))
+
+
 def test_suffix_order():
     picks = random.Random(1)
     import numpy as np
