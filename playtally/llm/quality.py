@@ -2,9 +2,8 @@
 
 Line rules, each on its own: navigation (menu separators make up a third of the words), punctuation
 (symbols make up over a tenth of the characters in words, or a fragment of under five words with no sentence mark)
-and boilerplate (stock phrases make up a fifth of the words; the SQL below lets one phrase fail a line of any length,
-which is the same on lines of up to ten words). A document whose remaining lines hold less than half of its words is
-rejected, as is one that fails the base rules (under 20 words, or over 30 % of them in repeated windows).
+and boilerplate (stock phrases make up a fifth of the words). A document whose remaining lines hold less than half of
+its words is rejected, as is one that fails the base rules (under 20 words, or over 30 % of them in repeated windows).
 
 One narrow pass, no shuffle; counts of a block of texts are sums between offsets, so a text of any
 length costs time in proportion. Defined results: a null or empty text has no words and fails; repeated
@@ -152,12 +151,14 @@ lines as (
     len(regexp_extract_all(line, '[|>]')) as separators, len(regexp_extract_all(line, '[#*$%&|<>]')) as symbols,
     length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) as chars,
     regexp_matches(line, '[.!?:;…。！？]') as marked,
-    regexp_matches(lower(line), '{"|".join(PHRASES)}') as stock
+    coalesce(list_sum(list_transform(
+      regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{"|".join(PHRASES)}'),
+      lambda x: length(x) - length(replace(x, ' ', '')) + 1)), 0) as stock
   from (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i
         from docs)),
 judged as (
   select *, {SEPARATOR_SHARE} * separators >= n or 100 * symbols > {MAX_SYMBOL_PERCENT} * chars
-    or (not marked and n < {MIN_FRAGMENT_WORDS}) or stock as failed from lines where n > 0),
+    or (not marked and n < {MIN_FRAGMENT_WORDS}) or {PHRASE_SHARE} * stock >= n as failed from lines where n > 0),
 sums as (
   select doc_id, count(*) filter (nth > 1) as n_dup_lines, count(*) as n_lines,
     count(*) filter (failed) as n_removed_lines, coalesce(sum(n) filter (not failed), 0) as n_kept_words

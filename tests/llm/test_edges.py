@@ -6,11 +6,13 @@ import random
 import re
 from collections import Counter
 
+import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from playtally.llm import chat, decontaminate, language, licenses, neardup, pieces, pii, quality, repeats, secrets
-from tests.llm.helpers import documents
+from tests.llm.helpers import documents, normal
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau".split()
 
@@ -158,6 +160,21 @@ def test_quality_phrase_in_running_text(spark):
     assert row[1].quality.kept and row[1].quality.cleaned == long_line + "\n" and row[1].quality.n_removed_lines == 2
 
 
+def test_quality_sql_states_the_rule_that_runs(spark):
+    """Phrases in lines of many lengths, and letters whose lower case is ASCII though they are not."""
+    phrases = quality.PHRASES
+    texts = TEXTS + [f"{prose(i, 30)}\n{phrases[i % 16]} {' '.join(prose(i, 60).split()[:i])} {phrases[i % 5].title()}." for i in range(1, 40)]
+    texts += [f"{prose(1, 30)}\nC\u212aICK HERE and L\u0130NK, clic\u212a here twice over."]
+    frame = documents(spark, texts)
+    got = normal(*((lambda f: (f.columns, [tuple(r) for r in f.collect()]))(
+        quality.judge(frame).select("doc_id", *[f"quality.{name}" for name in (*quality.COUNTS, "base_failed", "kept")]))))
+    connection = duckdb.connect()
+    connection.register("documents", pa.table({"doc_id": list(range(len(texts))), "text": pa.array(texts, pa.string())}))
+    cursor = connection.execute(quality.SQL)
+    assert got == normal([column[0] for column in cursor.description], cursor.fetchall())
+    assert {0, 1} <= {int(r.n_removed_lines) for r in quality.judge(frame).select("quality.n_removed_lines").collect()}
+
+
 # ---- 4 --------------------------------------------------------------------------------------------
 
 def test_pieces_n_best_is_exact():
