@@ -14,6 +14,9 @@ better path on its own than any change elsewhere), so the search stays small for
 A character without a piece becomes its UTF-8 bytes, at a score below that of every piece. The vocabulary (a
 fixed number of pieces) is read on the driver from the path given and broadcast.
 
+All n best segmentations are returned: nbest_scores holds their scores, best first, and nbest_sha256 is the lowercase
+SHA-256 hex of their ids in the same order, each as little-endian int32 followed by -1.
+
 Defined results: a null text is empty; an empty text has no pieces and one segmentation of score 0; ties keep the
 order of the search (fewer, longer pieces at the end of a word first); repeated rows get equal results; a text
 holding the word mark itself (U+2581) decodes with a blank in its place, as in the original format, and is
@@ -42,7 +45,7 @@ NEVER = float("-inf")
 BARRED_SCORE = -1e8
 
 RESULT = """n_pieces bigint, best_score double, n_segmentations bigint, margin double, ids_sha256 string, restored boolean,
-  ids array<int>"""
+  nbest_scores array<double>, nbest_sha256 string, ids array<int>"""
 
 
 def packed(ids: Sequence[int]) -> bytes:
@@ -53,6 +56,10 @@ def unpacked(ids: bytes) -> np.ndarray:
     return np.frombuffer(ids, "<i4")
 
 
+#: Ends each segmentation in nbest_sha256; no id is negative.
+_SEGMENTATION_END = packed([-1])
+
+
 @dataclass
 class Vocabulary:
     """Pieces with ids and scores, the ids of the 256 bytes, and what each id decodes to."""
@@ -279,8 +286,15 @@ def encode_texts(vocabulary: Vocabulary, texts: list[str | None], n: int) -> Ite
             decoded[at] = b"".join(map(vocabulary.decoded.__getitem__, chosen))
         whole = b"".join(ids)  # a batch of these is held at once, lists would take twice as much
         restored = b"".join(decoded).decode("utf-8", "replace")[1:] == (text or "")
+        every = hashlib.sha256(whole + _SEGMENTATION_END)
+        for _, changes in found[1:]:
+            other = ids.copy()
+            for at, chosen in zip(open_words, changes):
+                other[at] = packed(chosen)
+            every.update(b"".join(other) + _SEGMENTATION_END)
         yield (len(whole) // 4, found[0][0], len(found), found[0][0] - found[1][0] if len(found) > 1 else None,
-               hashlib.sha256(whole).hexdigest(), restored, unpacked(whole))
+               hashlib.sha256(whole).hexdigest(), restored, [score for score, _ in found], every.hexdigest(),
+               unpacked(whole))
 
 
 def encode(docs: DataFrame, model_path: str = MODEL_PATH, n: int = N_BEST, into: str = "pieces",

@@ -210,6 +210,18 @@ def test_pieces_decode_like_the_library(spark, docs, none):
     assert pieces.encode(none).count() == 0
 
 
+def test_pieces_encode_returns_every_segmentation():
+    import hashlib
+
+    vocabulary = pieces.Vocabulary.load(pieces.MODEL_PATH)
+    texts = ["the theory of things", "Hello wörld x", None, "zz 😀 in"]
+    for text, row in zip(texts, pieces.encode_texts(vocabulary, texts, 4)):
+        got = pieces.segment(vocabulary, text or "", 4)
+        digest = hashlib.sha256(b"".join(pieces.packed([i for word in ids for i in word] + [-1]) for _, ids in got))
+        assert row[6] == [score for score, _ in got] and row[7] == digest.hexdigest()
+    assert len(next(pieces.encode_texts(vocabulary, texts[:1], 4))[6]) == 4
+
+
 # ---- 5 --------------------------------------------------------------------------------------------
 
 def python_groups(texts):
