@@ -6,9 +6,9 @@ of what followed. A symbol seen in a context costs -log2 of its share; an unseen
 to the uniform code. The code length of a text is exact under these frozen counts; the shortest wins.
 
 Bytes are folded to 43 symbols first (a-z, white space and other ASCII, the low four bits of bytes
-beyond ASCII), so a tree has at most 43^4 leaves per language, 14 MB as a table, at any corpus size. All tables
-together take at most TABLE_BYTES of a worker: contexts are as long as that allows for the languages there are (three
-bytes up to 39 languages, two up to 1688, one up to 72,000), and more languages than single bytes allow are an error.
+beyond ASCII), so a tree has at most 43^4 leaves per language, 14 MB as a table, at any corpus size. Contexts are
+always three bytes, for any number of languages: a worker keeps the tables while all of them fit into TABLE_BYTES (up to
+39 languages), and otherwise makes those of STEP languages at a time for each block of texts and lets them go.
 Counting covers every learning row of every language and is summed per task before the shuffle.
 
 Defined results: `und` and score 0 for a null text, one without a letter, or where nothing was learned;
@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from playtally.llm.blocks import text_blocks
 
 ORDER, FOLDS = 3, 5
+#: Languages whose tables are made and summed at once.
+STEP = 8
 SYMBOLS = 43
 TABLE_BYTES = 512 << 20
 UNKNOWN = "und"
@@ -53,14 +55,6 @@ def _texts_with_room(texts: list) -> Iterator[tuple[int, int, np.ndarray, np.nda
         yield first, last, grams(b"\n" * ORDER + data), offsets[:-1] + ORDER, offsets[1:]
 
 
-def order_for(languages: int, table_bytes: int = TABLE_BYTES) -> int:
-    """The longest context, up to ORDER, whose tables for so many languages fit."""
-    for order in range(ORDER, -1, -1):
-        if 4 * languages * SYMBOLS ** (order + 1) <= table_bytes:
-            return order
-    raise ValueError(f"{languages} languages do not fit into tables of {table_bytes} bytes")
-
-
 def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """(lang, gram, n) over all rows of `docs` with a language and a text; grams are of order + 1 symbols."""
     size = SYMBOLS ** (order + 1)
@@ -120,28 +114,34 @@ def code_lengths(counts: np.ndarray, longest: int = ORDER) -> np.ndarray:
 class Model:
     """Counts by language as sparse arrays; the dense tables are made once in each worker."""
 
-    def __init__(self, counts: pd.DataFrame, order: int = ORDER):
+    def __init__(self, counts: pd.DataFrame, order: int = ORDER, table_bytes: int = TABLE_BYTES):
         parts = dict(tuple(counts.groupby("lang")))
         self.langs, self.order = sorted(parts), order
         self.sparse = [(parts[lang]["gram"].to_numpy(), parts[lang]["n"].to_numpy()) for lang in self.langs]
-        self.tables = None
-
-    def table(self) -> np.ndarray:
-        if self.tables is None:
-            self.tables = np.empty((SYMBOLS ** (self.order + 1), len(self.langs)), np.float32)
-            for i, (gram, n) in enumerate(self.sparse):
-                counts = np.zeros(len(self.tables), np.int64)
+        self.kept = 4 * len(self.langs) * SYMBOLS ** (order + 1) <= table_bytes
+        self.tables = {}
+
+    def table(self, first: int) -> np.ndarray:
+        """Code lengths of the languages from `first` on, STEP of them; kept only while the tables of all fit."""
+        made = self.tables.get(first)
+        if made is None:
+            chosen = self.sparse[first:first + STEP]
+            made = np.empty((SYMBOLS ** (self.order + 1), len(chosen)), np.float32)
+            for i, (gram, n) in enumerate(chosen):
+                counts = np.zeros(len(made), np.int64)
                 counts[gram] = n
-                self.tables[:, i] = code_lengths(counts, self.order)
-        return self.tables
+                made[:, i] = code_lengths(counts, self.order)
+            if self.kept:
+                self.tables[first] = made
+        return made
 
     def _bits(self, found: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Code length of each text in each language, from running sums over some languages at a time."""
-        out, step = np.empty((len(begins), len(self.langs))), 8
-        for first in range(0, len(self.langs), step):
-            sums = np.zeros((len(found) + 1, len(self.langs[first:first + step])))
-            np.cumsum(self.table()[:, first:first + step][found], axis=0, dtype=np.float64, out=sums[1:])
-            out[:, first:first + step] = sums[ends] - sums[begins]
+        out = np.empty((len(begins), len(self.langs)))
+        for first in range(0, len(self.langs), STEP):
+            sums = np.zeros((len(found) + 1, len(self.langs[first:first + STEP])))
+            np.cumsum(self.table(first)[found], axis=0, dtype=np.float64, out=sums[1:])
+            out[:, first:first + STEP] = sums[ends] - sums[begins]
         return out
 
     def predict(self, texts: list) -> tuple[list[str], list[float]]:
@@ -160,10 +160,8 @@ class Model:
 
 
 def fit(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> Model:
-    """The model of all rows of `docs`; its size is bounded by `table_bytes`, not by the corpus or its languages."""
-    learned = docs.where("lang is not null and text is not null").select("lang").distinct()
-    order = order_for(learned.count(), table_bytes)
-    return Model(count_grams(docs, order).toPandas(), order)
+    """The model of all rows of `docs`, of contexts of ORDER bytes; a worker keeps its tables if they fit into `table_bytes`."""
+    return Model(count_grams(docs, ORDER).toPandas(), ORDER, table_bytes)
 
 
 def identify(docs: DataFrame, model: Model, into: str = "language") -> DataFrame:

@@ -433,6 +433,15 @@ def test_language_many_values(spark):
         language.order_for(100, 10_000)
 
 
+def test_language_predictions_do_not_depend_on_table_room(spark):
+    """Less room for tables than all languages need changes what a worker keeps, never the contexts or the results."""
+    frame = documents(spark, [prose(i, 60) for i in range(12)])
+    frame = frame.withColumn("lang", F.concat(F.lit("l"), (F.col("doc_id") % 3).cast("string")))
+    texts = [prose(i, 30) for i in range(20, 30)] + ["the wörld"]
+    roomy, tight = language.fit(frame), language.fit(frame, 4 * 3 * language.SYMBOLS ** 4 - 1)
+    assert roomy.order == tight.order == language.ORDER and roomy.predict(texts) == tight.predict(texts)
+
+
 def test_language_counts_do_not_depend_on_chunks(spark, monkeypatch):
     import pandas as pd
     frame = documents(spark, [prose(i, 60) for i in range(12)])
