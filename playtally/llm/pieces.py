@@ -286,12 +286,24 @@ def encode_texts(vocabulary: Vocabulary, texts: list[str | None], n: int) -> Ite
             decoded[at] = b"".join(map(vocabulary.decoded.__getitem__, chosen))
         whole = b"".join(ids)  # a batch of these is held at once, lists would take twice as much
         restored = b"".join(decoded).decode("utf-8", "replace")[1:] == (text or "")
-        every = hashlib.sha256(whole + _SEGMENTATION_END)
-        for _, changes in found[1:]:
-            other = ids.copy()
-            for at, chosen in zip(open_words, changes):
-                other[at] = packed(chosen)
-            every.update(b"".join(other) + _SEGMENTATION_END)
+        every = hashlib.sha256(whole)
+        every.update(_SEGMENTATION_END)
+        if len(found) > 1:
+            # The others differ from the best only in its open words: hash the bytes between them from `whole`.
+            bounds, at_byte, done = [], 0, 0
+            for at in open_words:
+                at_byte += sum(map(len, ids[done:at]))
+                bounds.append((at_byte, at_byte + len(ids[at])))
+                done = at
+            view = memoryview(whole)
+            for _, changes in found[1:]:
+                start = 0
+                for (begin, end), chosen in zip(bounds, changes):
+                    every.update(view[start:begin])
+                    every.update(packed(chosen))
+                    start = end
+                every.update(view[start:])
+                every.update(_SEGMENTATION_END)
         yield (len(whole) // 4, found[0][0], len(found), found[0][0] - found[1][0] if len(found) > 1 else None,
                hashlib.sha256(whole).hexdigest(), restored, [score for score, _ in found], every.hexdigest(),
                unpacked(whole))
