@@ -8,7 +8,7 @@ one), and only the reference rows of these keys are repeated once per salt.
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 BROADCAST_LIMIT_BYTES = 64 << 20
@@ -53,6 +53,28 @@ def hot_keys(events: DataFrame, key: str, most: int = MOST_HOT_KEYS) -> list:
     return [row[key] for row in largest if row["_n"] > share]
 
 
+def hot_keys_of(events: DataFrame, keys: list[str], most: int = MOST_HOT_KEYS) -> dict[str, list]:
+    """`hot_keys` of several columns from one pass over `events`, so that a frame with a long lineage is computed once
+    for all of its joins and not once per key. Each task keeps only its `most` largest counts of each column."""
+    partitions = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    types = dict(events.dtypes)
+    entries = [F.struct(F.lit(place).alias("_k"), *[(F.col(key) if other == key else F.lit(None).cast(types[other])).alias(other)
+                                                    for other in keys])
+               for place, key in enumerate(keys)]
+    present = reduce(Column.__or__, [(F.col("_k") == place) & F.col(key).isNotNull() for place, key in enumerate(keys)])
+    counts = (events.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*").where(present)
+              .groupBy("_k", *keys).agg(F.count(F.lit(1)).alias("_n")))
+    total = Observation()
+    sums = [F.sum(F.when(F.col("_k") == place, F.col("_n"))).alias(f"n{place}") for place in range(len(keys))]
+    ranked = counts.observe(total, *sums).withColumn("_r", F.row_number().over(Window.partitionBy("_k").orderBy(F.desc("_n"))))
+    largest = ranked.where(F.col("_r") <= most).collect()
+    hot = {key: [] for key in keys}
+    for place, key in enumerate(keys):
+        share = (total.get[f"n{place}"] or 0) / max(2, min(partitions, most))
+        hot[key] = [row[key] for row in largest if row["_k"] == place and row["_n"] > share]
+    return hot
+
+
 def spread_reference(ref: DataFrame, key: str, hot: list, salts: int) -> DataFrame:
     """The reference with a column _salt: rows of hot keys once per salt, all others once."""
     copies = F.when(F.col(key).isin(hot), F.lit(salts - 1)).otherwise(F.lit(0)) if hot else F.lit(0)
