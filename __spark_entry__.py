@@ -40,12 +40,10 @@ def _lineitem(spark: SparkSession, d: str) -> DataFrame:
     return _enriched(spark, d, bindings.lineitem_streams(spark, d))
 
 
-def _with_genre(spark: SparkSession, d: str) -> DataFrame:
-    """Deduplicated plays with their genre and day only; who listened from where is not joined."""
-    joined = enrich.join_songs(enrich.dedup_events(bindings.lineitem_streams(spark, d)),
-                               bindings.songs(spark, d).select("track_id", "track_genre", "duration_ms"))
-    return joined.select("user_id", enrich.genre_or_unknown().alias("track_genre"), enrich.duration_or_zero().alias("duration_ms"),
-                         parsing.listen_date(F.col("listen_time")).alias("listen_date"))
+def _with_genre(spark: SparkSession, d: str, streams: DataFrame | None = None, *song_columns: str) -> DataFrame:
+    """Deduplicated plays, as many as `enrich` gives, with user, genre, duration and day only: the users' country is not joined."""
+    streams = bindings.lineitem_streams(spark, d) if streams is None else streams
+    return enrich.genre_days(enrich.dedup_events(streams), bindings.songs(spark, d), bindings.users(spark, d), *song_columns)
 
 
 def _daily(spark: SparkSession, d: str, streams: DataFrame) -> DataFrame:
@@ -71,7 +69,7 @@ def _looked_up(spark: SparkSession, d: str, first: str | None = None, last: str
 
 
 def _top_items(spark: SparkSession, d: str, streams: DataFrame, now: datetime) -> DataFrame:
-    return serving.top_genre_items(kpis.top_genres(kpis.listen_count(_enriched(spark, d, streams))), now)
+    return serving.top_genre_items(kpis.top_genres(kpis.listen_count(_with_genre(spark, d, streams))), now)
 
 
 def _event_top_items(spark: SparkSession, d: str, day: str | None = None) -> DataFrame:
