@@ -46,6 +46,10 @@ def _with_genre(spark: SparkSession, d: str, streams: DataFrame | None = None, *
     return enrich.genre_days(enrich.dedup_events(streams), bindings.songs(spark, d), bindings.users(spark, d), *song_columns)
 
 
+def _songs_of_days(spark: SparkSession, d: str) -> DataFrame:
+    return _with_genre(spark, d, None, "track_id", "track_name")
+
+
 def _daily(spark: SparkSession, d: str, streams: DataFrame) -> DataFrame:
     return daily_kpis(streams, bindings.songs(spark, d), bindings.users(spark, d))
 
@@ -213,20 +217,20 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "validation_report": lambda s, d: _report(s, d, bindings.dirty_raw(s, d)),
         "validation_report_clean": lambda s, d: _report(s, d, bindings.clean_raw(s, d)),
         "validation_report_repeated": lambda s, d: _report(s, d, bindings.repeated_raw(s, d)),
-        "listen_count": lambda s, d: kpis.listen_count(_lineitem(s, d)),
-        "unique_listeners": lambda s, d: kpis.unique_listeners(_lineitem(s, d)),
-        "total_listen_time": lambda s, d: kpis.total_listen_time(_lineitem(s, d)),
-        "user_totals": lambda s, d: _shown(kpis.user_totals(_lineitem(s, d))),
-        "avg_listen_time": lambda s, d: kpis.avg_listen_time(_lineitem(s, d)).withColumn(
+        "listen_count": lambda s, d: kpis.listen_count(_with_genre(s, d)),
+        "unique_listeners": lambda s, d: kpis.unique_listeners(_with_genre(s, d)),
+        "total_listen_time": lambda s, d: kpis.total_listen_time(_with_genre(s, d)),
+        "user_totals": lambda s, d: _shown(kpis.user_totals(_with_genre(s, d))),
+        "avg_listen_time": lambda s, d: kpis.avg_listen_time(_with_genre(s, d)).withColumn(
             "avg_listen_time_ms", F.round("avg_listen_time_ms", 2)),
-        "song_plays": lambda s, d: kpis.song_plays(_lineitem(s, d)),
-        "top3_songs_rows": lambda s, d: _shown(kpis.top_songs(kpis.song_plays(_lineitem(s, d)))),
-        "top3_songs_json": lambda s, d: kpis.top_songs_json(kpis.top_songs(kpis.song_plays(_lineitem(s, d)))),
-        "genre_plays": lambda s, d: kpis.genre_plays(kpis.listen_count(_lineitem(s, d))),
+        "song_plays": lambda s, d: kpis.song_plays(_songs_of_days(s, d)),
+        "top3_songs_rows": lambda s, d: _shown(kpis.top_songs(kpis.song_plays(_songs_of_days(s, d)))),
+        "top3_songs_json": lambda s, d: kpis.top_songs_json(kpis.top_songs(kpis.song_plays(_songs_of_days(s, d)))),
+        "genre_plays": lambda s, d: kpis.genre_plays(kpis.listen_count(_with_genre(s, d))),
         "top5_genres": lambda s, d: _shown(
             kpis.top_genres(kpis.listen_count(_with_genre(s, d)))).orderBy("listen_date", "rank"),
-        "distinct_dates": lambda s, d: kpis.distinct_dates(kpis.listen_count(_lineitem(s, d))),
-        "distinct_genres": lambda s, d: kpis.listen_count(_lineitem(s, d)).select("track_genre").distinct(),
+        "distinct_dates": lambda s, d: kpis.distinct_dates(kpis.listen_count(_with_genre(s, d))),
+        "distinct_genres": lambda s, d: kpis.listen_count(_with_genre(s, d)).select("track_genre").distinct(),
         "genre_kpis": _lineitem_kpis,
         "genre_kpis_events": _event_kpis,
         "genre_kpis_from_enriched": lambda s, d: kpis.genre_kpis(
